@@ -225,9 +225,7 @@ def lookup(
     default: Column | None = None,
 ) -> DataFrame:
     """LEFT join to a dictionary, held as a broadcast dimension table of its fixed size."""
-    spark = df.sparkSession
-    dim = spark.createDataFrame(
-        list(table.items()), f"{key} {df.schema[key].dataType.simpleString()}, {into} string"
-    )
+    entries = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    dim = df.sparkSession.range(1).select(F.explode(entries).alias(key, into))
     out = df.join(F.broadcast(dim), key, "left")
     return out if default is None else out.withColumn(into, F.coalesce(F.col(into), default))

@@ -42,7 +42,9 @@ def query(key: str, sql: str | None = None):
         QUERIES[key] = run
         if sql is not None:
             names = [n for n in CTES if re.search(rf"\b{n}\b", sql)]
-            ORACLES[key] = with_tables(sql, *names)
+            text = with_tables(sql, *names)
+            # A body with its own WITH continues the list of table expressions.
+            ORACLES[key] = text.replace(")\nWITH ", "),\n", 1)
         return build
 
     return add

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.operators.filters import restrict_to_dates
+from wattledger.session import materialize
 
 
 def left_join_feed(
@@ -207,8 +208,12 @@ def common_dates(
 def synchronize(
     generation: DataFrame, weather: DataFrame, economic: DataFrame
 ) -> dict[str, DataFrame]:
-    """The three sources restricted to their common dates, and those dates."""
-    dates = common_dates(generation, weather, economic)
+    """The three sources restricted to their common dates, and those dates.
+
+    The dates (one row per day at most) are found once and written to the shared folder;
+    each of the results then reads its own source only.
+    """
+    dates = materialize(common_dates(generation, weather, economic), "common-dates")
     return {
         "generation": restrict_to_dates(generation, dates),
         "weather": restrict_to_dates(weather, dates),

@@ -17,22 +17,29 @@ RANGES = 256
 
 
 def order_statistics(
-    values: DataFrame, by: Sequence[str], targets: Callable[[Column], Column], ranges: int = RANGES
+    values: DataFrame,
+    by: Sequence[str],
+    targets: Callable[[Column], Column],
+    few_groups: bool = False,
+    ranges: int = RANGES,
 ) -> DataFrame:
     """Values at given 0-based ranks of each group.
 
     ``values`` has the ``by`` columns and ``value`` (no nulls); ``targets`` maps the row
     count of a group to an array of structs with a ``rank`` field. Returns ``by`` columns,
-    the target's fields and ``value``.
+    the target's fields and ``value``. ``few_groups`` states that the groups are columns of
+    the query, not data: then the range limits (``ranges`` numbers per group) are broadcast.
+    Otherwise the join is left to adaptive execution, which broadcasts or splits by size.
     """
     by = list(by)
+    small = F.broadcast if few_groups else (lambda d: d)
     tally = values.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("copies"))
     cuts = [i / ranges for i in range(1, ranges)]
     marks = tally.groupBy(*by).agg(
         F.percentile_approx("value", cuts, ranges * 20).alias("marks"),
         F.sum("copies").alias("total"),
     )
-    placed = tally.join(marks, by).select(
+    placed = tally.join(small(marks), by).select(
         *by,
         "value",
         "copies",
@@ -60,7 +67,7 @@ def order_statistics(
         Window.unboundedPreceding, Window.currentRow
     )
     return (
-        placed.join(slots, [*by, "range"])
+        placed.join(small(slots), [*by, "range"])
         .withColumn("upto", F.col("before") + F.sum("copies").over(running))
         .withColumn("target", F.explode("targets"))
         .filter(
@@ -96,7 +103,7 @@ def exact_quantiles(
                 )
         return F.array(*entries)
 
-    ends = order_statistics(long, [*by, "column"], targets)
+    ends = order_statistics(long, [*by, "column"], targets, few_groups=not by)
     lo = F.max(F.when(F.col("side") == "lo", F.col("value")))
     hi = F.max(F.when(F.col("side") == "hi", F.col("value")))
     return ends.groupBy(*by, "column", "prob").agg(
@@ -114,7 +121,7 @@ def rank_threshold(df: DataFrame, key: Column, count: Callable[[Column], Column]
     def targets(total: Column) -> Column:
         return F.array(F.struct((count(total).cast("long") - F.lit(1)).alias("rank")))
 
-    return order_statistics(values, ["g"], targets).select("value")
+    return order_statistics(values, ["g"], targets, few_groups=True).select("value")
 
 
 def daily_quantiles(

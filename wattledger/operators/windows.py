@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from wattledger.functions.scalars import share_pct
@@ -42,63 +42,71 @@ def fill_in_order(
     order: str = "date",
     descending: bool = False,
     forward: bool = True,
+    backward: bool = False,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Fill nulls with the nearest earlier (``forward``) or later value in row order.
+    """Fill nulls with the nearest value before (``forward``) or after in row order.
 
-    Rows are ordered by a date column and windowed one month at a time; what a month has to
-    take over from the months before it comes from a table of one row per month. The frame
-    may thus be as long as the calendar without ever being sorted in one task.
+    With both, what the forward fill leaves open is filled backward. Rows are ordered by a
+    date column and windowed one month at a time; what a month takes over from other months
+    comes from a table of one row per month. The frame may thus be as long as the calendar
+    without ever being sorted in one task.
     """
-    columns = list(columns)
-    by = list(by)
-    look_back_in_time = forward != descending
-    month = F.trunc(order, "month")
-    rows = df.withColumn("_month", month)
-    pick = F.max_by if look_back_in_time else F.min_by
+    columns, by = list(columns), list(by)
+    # True where values flow from older to newer dates.
+    flows = [d for d, on in ((not descending, forward), (descending, backward)) if on]
+    rows = df.withColumn("_month", F.trunc(order, "month"))
+
+    def name(older: bool, c: str) -> str:
+        return f"_{'old' if older else 'new'}_{c}"
+
     ends = rows.groupBy(*by, "_month").agg(
         *[
-            pick(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_end_{c}")
+            (F.max_by if older else F.min_by)(
+                F.col(c), F.when(F.col(c).isNotNull(), F.col(order))
+            ).alias(name(older, c))
+            for older in flows
             for c in columns
         ]
     )
-    if look_back_in_time:
-        months = Window.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
-        days = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    else:
-        months = Window.orderBy(F.col("_month").desc()).rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        days = Window.orderBy(F.col(order).desc()).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
+
+    def outward(key: str, older: bool) -> WindowSpec:
+        return Window.orderBy(F.col(key) if older else F.col(key).desc())
+
     carried = ends.select(
         *by,
         "_month",
         *[
-            F.last(f"_end_{c}", ignorenulls=True)
-            .over(months.partitionBy(*(by or [F.lit(0)])))
-            .alias(f"_carry_{c}")
+            F.last(name(older, c), ignorenulls=True)
+            .over(
+                outward("_month", older)
+                .partitionBy(*(by or [F.lit(0)]))
+                .rowsBetween(Window.unboundedPreceding, -1)
+            )
+            .alias(name(older, c))
+            for older in flows
             for c in columns
         ],
     )
     joined = rows.join(carried, [*by, "_month"], "left")
-    inside = days.partitionBy(*by, "_month")
-    return joined.select(
-        *[
-            F.coalesce(
-                F.last(c, ignorenulls=True).over(inside), F.col(f"_carry_{c}")
-            ).alias(c)
-            if c in columns
-            else F.col(c)
-            for c in df.columns
-        ]
-    )
+
+    def filled(c: str) -> Column:
+        choices = []
+        for older in flows:
+            inside = (
+                outward(order, older)
+                .partitionBy(*by, "_month")
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            )
+            choices += [F.last(c, ignorenulls=True).over(inside), F.col(name(older, c))]
+        return F.coalesce(*choices).alias(c)
+
+    return joined.select(*[filled(c) if c in columns else F.col(c) for c in df.columns])
 
 
 def forward_fill(df, columns, order="date", descending=False, by=()) -> DataFrame:
-    return fill_in_order(df, columns, order, descending, True, by)
+    return fill_in_order(df, columns, order, descending, True, False, by)
 
 
 def backward_fill(df, columns, order="date", descending=False, by=()) -> DataFrame:
-    return fill_in_order(df, columns, order, descending, False, by)
+    return fill_in_order(df, columns, order, descending, False, True, by)

@@ -17,6 +17,7 @@ from wattledger import settings as cfg
 from wattledger.functions import scalars
 from wattledger.operators import filters, joins, quantiles, windows
 from wattledger.operators.metrics import regression_metrics
+from wattledger.session import materialize
 
 MODEL_TYPES = ["linear_regression", "ridge", "random_forest"]
 
@@ -34,8 +35,7 @@ def impute(
     the next later day. Without ``by`` the median can only meet columns that are null
     throughout, where it is null as well, so it is planned only for per-key fills.
     """
-    filled = windows.forward_fill(df, columns, order, descending, by)
-    filled = windows.backward_fill(filled, columns, order, descending, by)
+    filled = windows.fill_in_order(df, columns, order, descending, True, True, by)
     if not by:
         return filled
     medians = quantiles.exact_quantiles(filled, columns, (0.5,))
@@ -164,11 +164,16 @@ class LiquidityModel:
     def train(
         self, df: DataFrame, keys: Sequence[str] = ("date",), share: float = cfg.VALIDATION_SHARE
     ) -> LiquidityModel:
-        """Split, fit on the training part and score both parts."""
-        parts = split(df, keys, share, self.seed)
+        """Split, fit on the training part and score both parts.
+
+        Training passes over the rows several times, so they are written to the shared
+        folder once, with and without the split, instead of being derived for each pass.
+        """
+        rows = materialize(df.select(*keys, *self.features, self.target), "training")
+        parts = materialize(split(rows, keys, share, self.seed), "split")
         self.fit(parts.filter(~F.col("is_validation")))
-        rows = self.evaluate(parts).collect()  # two rows
-        named = {("validation" if r["is_validation"] else "train"): r for r in rows}
+        scores = self.evaluate(parts).collect()  # two rows
+        named = {("validation" if r["is_validation"] else "train"): r for r in scores}
         self.metrics = {
             part: {k: r[k] for k in ("mae", "rmse", "r2", "mape")} for part, r in named.items()
         }

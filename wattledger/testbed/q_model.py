@@ -9,7 +9,7 @@ from wattledger.operators import metrics, quality
 from wattledger.operators import joins as jn
 from wattledger.plans import features as feats
 from wattledger.plans import model as ml
-from wattledger.session import scratch_path
+from wattledger.session import materialize, scratch_path
 from wattledger.testbed.q_tables import ERR, LIQ, PRED, D, col
 from wattledger.testbed.registry import R, query
 from wattledger.testbed.standins import AS_OF
@@ -25,6 +25,10 @@ def training(t):
     return ml.prepare(t.features.select(*DATED))
 
 
+def stored_training(t):
+    return materialize(training(t), "training")
+
+
 def impute_sql(c: str) -> str:
     ahead = (
         f"last_value({c} IGNORE NULLS) OVER (ORDER BY date DESC "
@@ -90,7 +94,7 @@ for key, model_type in [
 ]:
     @query(key)
     def _(t, model_type=model_type):
-        rows = training(t)
+        rows = stored_training(t)
         return ml.compare(ml.LiquidityModel(model_type).train(rows), rows)
 
 
@@ -123,7 +127,7 @@ def _(t):
 
 @query("mla7_model_metrics")
 def _(t):
-    parts = ml.split(training(t))
+    parts = ml.split(stored_training(t))
     model = ml.LiquidityModel().fit(parts.filter(~col("is_validation")))
     return model.evaluate(parts)
 
@@ -131,7 +135,7 @@ def _(t):
 @query("mla8_importances")
 def _(t):
     model = ml.LiquidityModel("random_forest", params={"trees": 20, "depth": 5})
-    return model.fit(training(t)).importances(t.spark)
+    return model.fit(stored_training(t)).importances(t.spark)
 
 
 @query("mla9_save_metadata")
@@ -149,7 +153,7 @@ def _(t):
 @query("mla10_load_predict")
 def _(t):
     path = scratch_path(t.spark, "model")
-    rows = training(t)
+    rows = stored_training(t)
     ml.LiquidityModel("ridge").train(rows).save(t.spark, path)
     return ml.LiquidityModel.load(t.spark, path).predict(rows).select("date", "prediction")
 
@@ -172,7 +176,7 @@ def _(t):
 
 @query("mla13_compare")
 def _(t):
-    rows = training(t)
+    rows = stored_training(t)
     return ml.compare(ml.LiquidityModel().fit(rows), rows)
 
 

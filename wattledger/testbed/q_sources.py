@@ -309,7 +309,7 @@ def _(t):
 
 
 PRED_SQL = (
-    "SELECT date, round(CAST(predicted_liquidity_millions AS DOUBLE), 2) "
+    "SELECT date, floor(predicted_liquidity_millions * 10) / 10 "
     "AS predicted_liquidity_millions, model_version FROM pred"
 )
 
@@ -317,7 +317,7 @@ PRED_SQL = (
 @query("src11_load_predictions", PRED_SQL)
 def _(t):
     frame = t.predictions.withColumn(
-        "predicted_liquidity_millions", F.round("predicted_liquidity_millions", 2)
+        "predicted_liquidity_millions", F.floor(col("predicted_liquidity_millions") * 10) / 10
     )
     landing = landed(t, frame, "ml_predictions")
     loaded = files.load_predictions(t.spark, landing, RUN)

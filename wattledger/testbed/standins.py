@@ -178,17 +178,26 @@ class Tables:
         actual = F.col("liquidity_need_millions")
 
         def version(name, keep, value, hour):
-            return self.features.filter(keep).select(
-                "date",
-                value.alias("predicted_liquidity_millions"),
-                F.lit(name).alias("model_version"),
-                (F.col("date").cast("timestamp") + F.expr(f"interval {hour} hours")).alias(
-                    "prediction_timestamp"
+            return F.when(
+                keep,
+                F.struct(
+                    value.alias("predicted_liquidity_millions"),
+                    F.lit(name).alias("model_version"),
+                    (
+                        F.col("date").cast("timestamp") + F.expr(f"interval {hour} hours")
+                    ).alias("prediction_timestamp"),
                 ),
             )
 
-        v1 = version("v1", ed % 7 != 0, actual + ((ed * 31) % 121 - 60), 6)
-        v2 = version("v2", ed % 2 == 0, actual + ((ed * 17) % 41 - 20), 7)
+        versions = F.array(
+            version("v1", ed % 7 != 0, actual + ((ed * 31) % 121 - 60), 6),
+            version("v2", ed % 2 == 0, actual + ((ed * 17) % 41 - 20), 7),
+        )
+        past = (
+            self.features.select("date", F.explode(versions).alias("p"))
+            .filter(F.col("p").isNotNull())
+            .select("date", "p.*")
+        )
         day = scalars.as_date(AS_OF)
         ahead = (
             self.spark.range(1, 8)
@@ -202,7 +211,7 @@ class Tables:
                 ),
             )
         )
-        return v1.unionByName(v2).unionByName(ahead)
+        return past.unionByName(ahead)
 
 
 # The same tables as common table expressions, in dependency order.

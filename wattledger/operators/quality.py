@@ -131,8 +131,9 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None, k: float =
         return (x < fence["lower"]) | (x > fence["upper"])
 
     wide = df.agg(*[F.count(F.when(outside(c), 1)).alias(c) for c in cols])
-    return wide.unpivot([], cols, "column", "outliers").join(fences, "column", "left").select(
-        "column", "lower", "upper", "outliers"
+    fence = F.try_element_at(packed, F.col("column"))
+    return wide.unpivot([], cols, "column", "outliers").select(
+        "column", fence["lower"].alias("lower"), fence["upper"].alias("upper"), "outliers"
     )
 
 

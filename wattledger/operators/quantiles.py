@@ -16,6 +16,18 @@ from pyspark.sql import functions as F
 RANGES = 256
 
 
+def _place(df: DataFrame, ranges: int) -> DataFrame:
+    """Adds ``range``, the number of ``marks`` below ``value``, by binary search."""
+    df = df.withColumn("range", F.lit(0))
+    step = ranges // 2
+    while step:
+        probe = F.col("range") + step
+        below = F.try_element_at("marks", probe) < F.col("value")
+        df = df.withColumn("range", F.when(below, probe).otherwise(F.col("range")))
+        step //= 2
+    return df
+
+
 def order_statistics(
     values: DataFrame,
     by: Sequence[str],
@@ -25,11 +37,12 @@ def order_statistics(
 ) -> DataFrame:
     """Values at given 0-based ranks of each group.
 
-    ``values`` has the ``by`` columns and ``value`` (no nulls); ``targets`` maps the row
+    ``values`` has the ``by`` columns and ``value`` (no nulls in either); ``targets`` maps the row
     count of a group to an array of structs with a ``rank`` field. Returns ``by`` columns,
     the target's fields and ``value``. ``few_groups`` states that the groups are columns of
     the query, not data: then the range limits (``ranges`` numbers per group) are broadcast.
     Otherwise the join is left to adaptive execution, which broadcasts or splits by size.
+    ``ranges`` is a power of two.
     """
     by = list(by)
     small = F.broadcast if few_groups else (lambda d: d)
@@ -39,13 +52,7 @@ def order_statistics(
         F.percentile_approx("value", cuts, ranges * 20).alias("marks"),
         F.sum("copies").alias("total"),
     )
-    placed = tally.join(small(marks), by).select(
-        *by,
-        "value",
-        "copies",
-        "total",
-        F.size(F.filter("marks", lambda m: m < F.col("value"))).alias("range"),
-    )
+    placed = _place(tally.join(small(marks), by), ranges).drop("marks")
     # At most ``ranges`` rows per group, so this window is small whatever the input size.
     before = Window.partitionBy(*by).orderBy("range").rowsBetween(
         Window.unboundedPreceding, -1
@@ -70,9 +77,12 @@ def order_statistics(
         placed.join(small(slots), [*by, "range"])
         .withColumn("upto", F.col("before") + F.sum("copies").over(running))
         .withColumn("target", F.explode("targets"))
+        # The total is asked for here too: it keeps both uses of ``placed`` the same plan, so
+        # that the tally is shuffled once and reused.
         .filter(
             (F.col("target.rank") < F.col("upto"))
             & (F.col("target.rank") >= F.col("upto") - F.col("copies"))
+            & (F.col("target.rank") < F.col("total"))
         )
         .select(*by, "target.*", "value")
     )
@@ -81,8 +91,13 @@ def order_statistics(
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Linear-interpolation quantiles: (``by``…, column, prob, value), nulls ignored."""
+    """Linear-interpolation quantiles: (``by``…, column, prob, value), nulls ignored.
+
+    Rows with a null group key belong to no group.
+    """
     by = list(by)
+    for key in by:
+        df = df.filter(F.col(key).isNotNull())
     long = df.select(
         *by, *[F.col(c).cast("double").alias(c) for c in columns]
     ).unpivot(by, list(columns), "column", "value")
@@ -111,17 +126,41 @@ def exact_quantiles(
     )
 
 
-def rank_threshold(df: DataFrame, key: Column, count: Callable[[Column], Column]) -> DataFrame:
-    """One row: the value of ``key`` at 1-based rank ``count(total rows)``.
+def hash_threshold(df: DataFrame, ticket: Column, count: Callable[[Column], Column]) -> DataFrame:
+    """One row: the 64-bit hash ``ticket`` at 1-based rank ``count(total rows)``.
 
-    No row when the count is zero.
+    Hashes spread evenly over their upper 16 bits, so the first pass counts 65,536 slots and
+    the second looks into the one slot that holds the rank. Equal hashes are tallied before
+    they are ordered. No row when the count is zero.
     """
-    values = df.select(F.lit(0).alias("g"), key.alias("value"))
-
-    def targets(total: Column) -> Column:
-        return F.array(F.struct((count(total).cast("long") - F.lit(1)).alias("rank")))
-
-    return order_statistics(values, ["g"], targets, few_groups=True).select("value")
+    rows = df.select(ticket.alias("ticket"), F.shiftright(ticket, 48).alias("slot"))
+    everything = Window.partitionBy(F.lit(0))
+    running = everything.orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
+    rank = count(F.col("total")).cast("long")
+    hit = (
+        rows.groupBy("slot")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(
+            "slot",
+            "n",
+            F.sum("n").over(running).alias("upto"),
+            F.sum("n").over(everything).alias("total"),
+        )
+        .filter((rank <= F.col("upto")) & (rank > F.col("upto") - F.col("n")))
+        .select(F.struct("slot", (rank - F.col("upto") + F.col("n")).alias("rank")).alias("h"))
+        .scalar()
+    )
+    inside = Window.partitionBy("slot").orderBy("ticket").rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    return (
+        rows.filter(F.col("slot") == hit["slot"])
+        .groupBy("slot", "ticket")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("upto", F.sum("n").over(inside))
+        .filter((F.col("upto") >= hit["rank"]) & (F.col("upto") - F.col("n") < hit["rank"]))
+        .select("ticket")
+    )
 
 
 def daily_quantiles(

@@ -67,11 +67,11 @@ def split(
     """Adds ``is_validation``, true for exactly ``ceil(share · rows)`` rows (unique keys).
 
     Rows are ranked by a seeded hash of their key, and the hash at the wanted rank is found
-    as a distributed order statistic: no global sort, no collected rows, and the same seed
-    always gives the same split.
+    by counting: no global sort, no collected rows, and the same seed always gives the same
+    split. Rows with equal keys fall on the same side.
     """
     ticket = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
-    cut = quantiles.rank_threshold(df, ticket, lambda n: F.ceil(n * F.lit(float(share))))
+    cut = quantiles.hash_threshold(df, ticket, lambda n: F.ceil(n * F.lit(float(share))))
     return df.withColumn("is_validation", F.coalesce(ticket <= cut.scalar(), F.lit(False)))
 
 

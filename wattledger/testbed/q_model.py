@@ -127,7 +127,7 @@ def _(t):
 
 @query("mla7_model_metrics")
 def _(t):
-    parts = ml.split(stored_training(t))
+    parts = materialize(ml.split(stored_training(t)), "split")
     model = ml.LiquidityModel().fit(parts.filter(~col("is_validation")))
     return model.evaluate(parts)
 

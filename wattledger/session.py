@@ -15,8 +15,11 @@ def build_session(app: str = "wattledger", master: str | None = None, **conf) ->
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.sql.session.timeZone", "UTC").config(
-        "spark.sql.adaptive.enabled", "true"
+    builder = (
+        builder.config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.adaptive.enabled", "true")
+        # Call-site capture per column expression; costs driver time on wide plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -54,9 +54,12 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._sources: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._sources:
+            self._sources[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._sources[name]
 
     @cached_property
     def readings(self) -> DataFrame:

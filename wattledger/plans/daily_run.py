@@ -23,7 +23,8 @@ def ingest(spark: SparkSession, landing: str, store: str) -> None:
 
 
 def table(spark: SparkSession, store: str, name: str) -> DataFrame:
-    return spark.read.schema(schemas.TABLES[name]).parquet(f"{store}/{name}")
+    stored = spark.read.schema(schemas.TABLES[name]).parquet(f"{store}/{name}")
+    return stored.select(*schemas.TABLES[name].names)
 
 
 def build_features(spark: SparkSession, store: str, **weights) -> DataFrame:
@@ -46,7 +47,8 @@ def train_and_forecast(
     model.save(spark, f"{store}/models/{as_of}")
     ahead = ml.forecast(model, features, as_of)
     shaped = schemas.select_typed(ahead, "ml_predictions")
-    shaped.write.mode("append").parquet(f"{store}/ml_predictions")
+    # Kept by run date, so that a repeated run replaces its own predictions.
+    sinks.land_raw(shaped, f"{store}/ml_predictions", as_of)
     return model, table(spark, store, "ml_predictions")
 
 

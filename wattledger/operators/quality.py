@@ -121,20 +121,30 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None, k: float =
     find = quantiles.daily_quantiles if daily else quantiles.exact_quantiles
     fences = _fences(find(df, cols, (0.25, 0.75)), k)
     packed = fences.agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("column", F.struct("lower", "upper")))
-        ).alias("m")
+        F.struct(
+            *[
+                F.max(F.when(F.col("column") == c, F.struct("lower", "upper"))).alias(c)
+                for c in cols
+            ]
+        ).alias("f")
     ).scalar()
 
     def outside(c: str) -> Column:
-        x, fence = F.col(c).cast("double"), F.try_element_at(packed, F.lit(c))
-        return (x < fence["lower"]) | (x > fence["upper"])
+        x = F.col(c).cast("double")
+        return (x < packed[c]["lower"]) | (x > packed[c]["upper"])
 
-    wide = df.agg(*[F.count(F.when(outside(c), 1)).alias(c) for c in cols])
-    fence = F.try_element_at(packed, F.col("column"))
-    return wide.unpivot([], cols, "column", "outliers").select(
-        "column", fence["lower"].alias("lower"), fence["upper"].alias("upper"), "outliers"
+    counts = df.agg(*[F.count(F.when(outside(c), 1)).alias(c) for c in cols])
+    wide = counts.select(
+        *[
+            F.struct(
+                packed[c]["lower"].alias("lower"),
+                packed[c]["upper"].alias("upper"),
+                F.col(c).alias("outliers"),
+            ).alias(c)
+            for c in cols
+        ]
     )
+    return wide.unpivot([], cols, "column", "s").select("column", "s.*")
 
 
 def value_ranges(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -39,12 +39,12 @@ def impute(
     if not by:
         return filled
     medians = quantiles.exact_quantiles(filled, columns, (0.5,))
-    lookup = medians.agg(
-        F.map_from_entries(F.collect_list(F.struct("column", "value"))).alias("m")
+    middle = medians.agg(
+        F.struct(
+            *[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns]
+        ).alias("m")
     ).scalar()
-    return filled.withColumns(
-        {c: F.coalesce(F.col(c), F.try_element_at(lookup, F.lit(c))) for c in columns}
-    )
+    return filled.withColumns({c: F.coalesce(F.col(c), middle[c]) for c in columns})
 
 
 def prepare(

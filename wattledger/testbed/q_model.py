@@ -270,14 +270,14 @@ def _(t):
 
 
 def iqr_sql(c, source):
-    return f"""SELECT '{c}' AS "column", {R('q1 - 1.5 * (q3 - q1)')} AS lower,
-  {R('q3 + 1.5 * (q3 - q1)')} AS upper,
+    return f"""SELECT '{c}' AS "column", {R('q1 - 1.5 * (q3 - q1)', 6)} AS lower,
+  {R('q3 + 1.5 * (q3 - q1)', 6)} AS upper,
   count(*) FILTER (WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS outliers
 FROM {source}, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3
                 FROM {source}) GROUP BY q1, q3"""
 
 
-@query("dqc7_iqr_outliers_daily", " UNION ALL ".join(iqr_sql(c, "feat") for c in NUMBERS))
+@query("dqc7_iqr_outliers_daily", " UNION ALL ".join(iqr_sql(c, "feat") for c in NUMBERS), 6)
 def _(t):
     return quality.iqr_outliers(t.features)
 
@@ -287,6 +287,7 @@ def _(t):
     " UNION ALL ".join(
         iqr_sql(c, "orders") for c in ("o_totalprice", "o_custkey")
     ),
+    6,
 )
 def _(t):
     columns = ["o_totalprice", "o_custkey"]

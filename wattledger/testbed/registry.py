@@ -16,26 +16,26 @@ ORACLES: dict[str, str] = {}
 DIGITS = 4
 
 
-def rounded(df: DataFrame) -> DataFrame:
+def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Doubles cut to comparable digits (the SQL text does the same with ``R``)."""
     return df.select(
         *[
-            F.round(c.name, DIGITS).alias(c.name) if c.dataType.typeName() == "double" else c.name
+            F.round(c.name, digits).alias(c.name) if c.dataType.typeName() == "double" else c.name
             for c in df.schema.fields
         ]
     )
 
 
-def R(expr: str) -> str:
-    return f"round(CAST({expr} AS DOUBLE), {DIGITS})"
+def R(expr: str, digits: int = DIGITS) -> str:
+    return f"round(CAST({expr} AS DOUBLE), {digits})"
 
 
-def query(key: str, sql: str | None = None):
+def query(key: str, sql: str | None = None, digits: int = DIGITS):
     """Register a builder ``Tables → DataFrame``; ``sql`` may name any stand-in table."""
 
     def add(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return rounded(build(Tables(spark, folder)))
+            return rounded(build(Tables(spark, folder)), digits)
 
         run.__name__ = key
         assert key not in QUERIES, key

@@ -28,7 +28,9 @@ def _dbl(c: Column, name: str) -> Column:
 
 
 def daily_generation(generation: DataFrame) -> DataFrame:
-    return generation.groupBy("date").agg(_dbl(F.sum(GEN), "total_generation_mwh"))
+    """Total per date; a date without any known value totals 0."""
+    total = F.coalesce(F.sum(GEN).cast("double"), F.lit(0.0))
+    return generation.groupBy("date").agg(total.alias("total_generation_mwh"))
 
 
 def daily_weather(weather: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def build_features(spark: SparkSession, store: str, **weights) -> DataFrame:
     instead of aggregating the raw feeds again.
     """
     raw = [table(spark, store, t) for t in RAW]
-    sinks.write_daily(feats.ml_features(*raw, **weights), f"{store}/ml_features")
+    sinks.write_clustered(feats.ml_features(*raw, **weights), f"{store}/ml_features")
     return spark.read.parquet(f"{store}/ml_features")
 
 

@@ -53,15 +53,17 @@ def ml_features(
     generation_weight: float = cfg.GENERATION_WEIGHT,
     oil_weight: float = cfg.OIL_WEIGHT,
     default_oil: float = cfg.DEFAULT_OIL_PRICE,
+    positive_only: bool = False,
 ) -> DataFrame:
     """One row per generation date, every source aggregated before the joins (default).
 
     ``noise`` defaults to a repeatable function of the date; pass
-    ``scalars.noise_random(…)`` for a draw.
+    ``scalars.noise_random(…)`` for a draw. ``positive_only`` also drops days without any
+    generation, as the warehouse statement does.
     """
-    gen = aggregates.daily_generation(generation.filter(F.col("date").isNotNull())).filter(
-        F.col("total_generation_mwh") > 0
-    )
+    gen = aggregates.daily_generation(generation.filter(F.col("date").isNotNull()))
+    if positive_only:
+        gen = gen.filter(F.col("total_generation_mwh") > 0)
     joined = joins.left_chain(
         gen,
         aggregates.daily_weather(weather).select("date", "avg_temperature_f"),

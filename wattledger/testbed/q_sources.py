@@ -441,7 +441,7 @@ def _(t):
 )
 def _(t):
     path = scratch_path(t.spark, "clustered")
-    sinks.write_daily(t.readings.select("date", "fuel_type", "generation_mwh"), path)
+    sinks.write_clustered(t.readings.select("date", "fuel_type", "generation_mwh"), path)
     return fl.look_back(t.spark.read.parquet(path), AS_OF, 30)
 
 

@@ -13,29 +13,34 @@ from wattledger.testbed.standins import CTES, Tables, with_tables
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+# Nine decimals first: engines sum in different orders, and the last bits must not decide
+# on which side of a tie a value falls.
+EXACT = "decimal(38,9)"
 DIGITS = 4
 
 
-def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+def rounded(df: DataFrame) -> DataFrame:
     """Doubles cut to comparable digits (the SQL text does the same with ``R``)."""
     return df.select(
         *[
-            F.round(c.name, digits).alias(c.name) if c.dataType.typeName() == "double" else c.name
+            F.round(F.col(c.name).try_cast(EXACT), DIGITS).cast("double").alias(c.name)
+            if c.dataType.typeName() == "double"
+            else c.name
             for c in df.schema.fields
         ]
     )
 
 
-def R(expr: str, digits: int = DIGITS) -> str:
-    return f"round(CAST({expr} AS DOUBLE), {digits})"
+def R(expr: str) -> str:
+    return f"CAST(round(CAST({expr} AS {EXACT}), {DIGITS}) AS DOUBLE)"
 
 
-def query(key: str, sql: str | None = None, digits: int = DIGITS):
+def query(key: str, sql: str | None = None):
     """Register a builder ``Tables → DataFrame``; ``sql`` may name any stand-in table."""
 
     def add(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return rounded(build(Tables(spark, folder)), digits)
+            return rounded(build(Tables(spark, folder)))
 
         run.__name__ = key
         assert key not in QUERIES, key

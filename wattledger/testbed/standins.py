@@ -295,7 +295,7 @@ LEFT JOIN (SELECT date,
   FROM econ GROUP BY date) e ON g.date = e.date
 LEFT JOIN (SELECT date, avg(price_per_mwh) AS avg_electricity_price FROM price GROUP BY date) p
   ON g.date = p.date
-WHERE g.date <= DATE '{AS_OF}' AND g.total_generation_mwh > 0""",
+WHERE g.date <= DATE '{AS_OF}'""",
     ),
     "pred": (
         ("feat",),

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm import quality
+from wattledger.llm import near_dedup, quality
+from wattledger.llm.common import Run
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,5 +20,10 @@ def op1_quality_classifier(spark, sf_dir):
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier,)}
+def op7_circulant_minhash(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_duplicates(docs, Run(spark, "op7"), size=3, percent=85)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op7_circulant_minhash)}
 ORACLES: dict[str, str] = {}

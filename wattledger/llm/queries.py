@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm import near_dedup, quality
+from wattledger.llm import decontaminate, near_dedup, quality
 from wattledger.llm.common import Run
 
 
@@ -25,5 +25,10 @@ def op7_circulant_minhash(spark, sf_dir):
     return near_dedup.near_duplicates(docs, Run(spark, "op7"), size=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op7_circulant_minhash)}
+def op8_winnowing(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"), Run(spark, "op8"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op7_circulant_minhash, op8_winnowing)}
 ORACLES: dict[str, str] = {}

@@ -11,6 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattledger.llm.common import arrow, ship, slices, utf8
 
@@ -186,7 +187,7 @@ def score(documents: DataFrame, weights: np.ndarray) -> DataFrame:
     sent = spark.sparkContext.broadcast(weights.astype(np.float32))
     kept = [c for c in documents.columns if c.lower() != "score"]
     df = documents.select(*kept, utf8().alias("__utf8"))
-    schema = df.drop("__utf8").schema.add("score", "double")
+    schema = T.StructType([*documents.select(*kept).schema.fields, T.StructField("score", T.DoubleType())])
 
     def run(batches):
         words, w = Words(), sent.value

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm import decontaminate, near_dedup, quality
+from wattledger.llm import byte_bpe, decontaminate, near_dedup, quality
 from wattledger.llm.common import Run
 
 
@@ -20,6 +21,14 @@ def op1_quality_classifier(spark, sf_dir):
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op5_byte_level_bpe(spark, sf_dir):
+    docs, path = _table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    decoded = byte_bpe.decode(byte_bpe.encode(docs, path), path)
+    return decoded.select(
+        "doc_id", F.expr("cast(length(ids) div 4 as long)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 def op7_circulant_minhash(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_dedup.near_duplicates(docs, Run(spark, "op7"), size=3, percent=85)
@@ -30,5 +39,5 @@ def op8_winnowing(spark, sf_dir):
     return decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"), Run(spark, "op8"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op7_circulant_minhash, op8_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op5_byte_level_bpe, op7_circulant_minhash, op8_winnowing)}
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm import byte_bpe, decontaminate, near_dedup, quality
+from wattledger.llm import byte_bpe, decontaminate, licenses, near_dedup, quality, toxicity
 from wattledger.llm.common import Run
 
 
@@ -21,6 +21,12 @@ def op1_quality_classifier(spark, sf_dir):
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op3_noisy_or_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 def op5_byte_level_bpe(spark, sf_dir):
     docs, path = _table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     decoded = byte_bpe.decode(byte_bpe.encode(docs, path), path)
@@ -39,5 +45,10 @@ def op8_winnowing(spark, sf_dir):
     return decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"), Run(spark, "op8"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op5_byte_level_bpe, op7_circulant_minhash, op8_winnowing)}
+def op10_license_automaton(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).drop("spans")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op3_noisy_or_toxicity, op5_byte_level_bpe, op7_circulant_minhash, op8_winnowing, op10_license_automaton)}
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm import byte_bpe, decontaminate, licenses, near_dedup, quality, toxicity
+from wattledger.llm import byte_bpe, decontaminate, licenses, near_dedup, pii, quality, toxicity
 from wattledger.llm.common import Run
 
 
@@ -27,6 +27,13 @@ def op3_noisy_or_toxicity(spark, sf_dir):
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+def op4_bootstrapped_pii(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = pii.extract(docs, pii.learn(docs, Run(spark, "op4"))).drop("text")
+    counts = [F.size(F.expr(f"filter(base, s -> s.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return spans.select("doc_id", *counts, F.sha2(pii.joined("base").cast("binary"), 256).alias("base_sha256"), pii.joined("base", "found").alias("spans"))
+
+
 def op5_byte_level_bpe(spark, sf_dir):
     docs, path = _table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     decoded = byte_bpe.decode(byte_bpe.encode(docs, path), path)
@@ -50,5 +57,5 @@ def op10_license_automaton(spark, sf_dir):
     return licenses.scan(docs).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op3_noisy_or_toxicity, op5_byte_level_bpe, op7_circulant_minhash, op8_winnowing, op10_license_automaton)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op3_noisy_or_toxicity, op4_bootstrapped_pii, op5_byte_level_bpe, op7_circulant_minhash, op8_winnowing, op10_license_automaton)}
 ORACLES: dict[str, str] = {}

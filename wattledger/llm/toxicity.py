@@ -16,7 +16,7 @@ from wattledger.llm.common import arrow, ship, slices, utf8
 from wattledger.llm.quality import TRAIN_ROWS, training_rows
 
 LOG2_FEATURES = 18
-SHARDS = 8
+SHARDS = 4
 ENDS = re.compile(rb"[.!?\n]+")
 EDGES = b" \t\r\n.,;:!?\"'()[]{}|*#$%&<>=+-_/\\"
 
@@ -50,13 +50,13 @@ class Model:
     sentences, toxic ones raise those that already look worst.
     """
 
-    def __init__(self, epochs: int = 12, rate: float = 1.0, l1: float = 1e-5, bias: float = -6.0):
+    def __init__(self, epochs: int = 12, rate: float = 0.8, l1: float = 1.5e-3, bias: float = -6.0):
         self.epochs, self.rate, self.l1, self.bias = epochs, rate, l1, bias
 
     def fit(self, docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int) -> np.ndarray:
         """docs: features of all sentences and the number of features of each."""
         size = 1 << LOG2_FEATURES
-        w, g2 = np.zeros(size + 1), np.full(size + 1, 1e-2)
+        w, g2 = np.zeros(size + 1), np.ones(size + 1)
         w[size] = self.bias
         order = np.random.default_rng(seed)
         for _ in range(self.epochs):
@@ -83,7 +83,7 @@ class Model:
 
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS, model: Model | None = None) -> np.ndarray:
-    """Weights and bias: the mean of the models of eight shards of a bounded labelled sample.
+    """Weights and bias: the mean of the models of four shards of a bounded labelled sample.
 
     Shards without labels of both classes give no model; without any model every sentence has
     the starting bias.

@@ -75,7 +75,7 @@ class Model:
                 g2[u] += step * step
                 rate = self.rate / np.sqrt(g2[u])
                 moved = w[u] - rate * step
-                w[u] = np.sign(moved) * np.maximum(np.abs(moved) - rate * self.l1, 0)
+                w[u] = np.maximum(moved - rate * self.l1, 0)
                 total = g.sum()
                 g2[size] += total * total
                 w[size] = min(w[size] - 0.1 * self.rate / np.sqrt(g2[size]) * total, -4.0)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm import byte_bpe, decontaminate, licenses, near_dedup, pii, quality, toxicity
+from wattledger.llm import byte_bpe, decontaminate, licenses, near_dedup, pii, quality, token_store, toxicity
 from wattledger.llm.common import Run
 
 
@@ -21,6 +21,14 @@ def op1_quality_classifier(spark, sf_dir):
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op2_token_store(spark, sf_dir):
+    docs, run = _table(spark, sf_dir, "documents").select("doc_id", "text"), Run(spark, "op2")
+    folder = f"{run.folder}/store"
+    token_store.write(docs, folder, run, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_store.read(spark, folder).select(
+        "doc_id", "start", F.expr("cast(length(ids) div 4 as long)").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op3_noisy_or_toxicity(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
@@ -57,5 +65,5 @@ def op10_license_automaton(spark, sf_dir):
     return licenses.scan(docs).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op3_noisy_or_toxicity, op4_bootstrapped_pii, op5_byte_level_bpe, op7_circulant_minhash, op8_winnowing, op10_license_automaton)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_store, op3_noisy_or_toxicity, op4_bootstrapped_pii, op5_byte_level_bpe, op7_circulant_minhash, op8_winnowing, op10_license_automaton)}
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm import byte_bpe, decontaminate, licenses, near_dedup, pii, quality, token_store, toxicity
+from wattledger.llm import byte_bpe, decontaminate, licenses, near_dedup, pii, quality, token_store, toxicity, vector_dedup
 from wattledger.llm.common import Run
 
 
@@ -50,6 +50,10 @@ def op5_byte_level_bpe(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op6_rotated_codes(spark, sf_dir):
+    return vector_dedup.near_vectors(_table(spark, sf_dir, "embeddings"), Run(spark, "op6"))
+
+
 def op7_circulant_minhash(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_dedup.near_duplicates(docs, Run(spark, "op7"), size=3, percent=85)
@@ -65,5 +69,5 @@ def op10_license_automaton(spark, sf_dir):
     return licenses.scan(docs).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_store, op3_noisy_or_toxicity, op4_bootstrapped_pii, op5_byte_level_bpe, op7_circulant_minhash, op8_winnowing, op10_license_automaton)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_store, op3_noisy_or_toxicity, op4_bootstrapped_pii, op5_byte_level_bpe, op6_rotated_codes, op7_circulant_minhash, op8_winnowing, op10_license_automaton)}
 ORACLES: dict[str, str] = {}

@@ -7,6 +7,8 @@ pairs whose bound reaches the threshold are computed again, exactly.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -17,12 +19,13 @@ from wattledger.llm.common import Run, arrow
 from wattledger.llm.graph import components
 
 #: Tables of BITS sign bits each, from ROTATIONS rotations: a pair at cosine 0.9 shares a
-#: bucket of some table with probability 0.996, at 0.95 with 1 - 10^-7.
-TABLES, BITS = 32, 12
+#: bucket of some table with probability 0.98, at 0.95 with 0.9999.
+TABLES, BITS = 24, 12
 #: Standard errors added to an estimate before a pair is left out.
 ERRORS = 5.0
 
 
+@lru_cache
 def rotation(d: int, number: int) -> np.ndarray:
     """A random orthogonal matrix, the same in every task."""
     q, r = np.linalg.qr(np.random.default_rng([d, number]).standard_normal((d, d)))
@@ -37,13 +40,12 @@ def encode(x: np.ndarray, turned: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return r, code, np.abs(r).sum(1) / np.sqrt(x.shape[1])
 
 
-def estimates(code: np.ndarray, factor: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Unbiased inner products of coded vectors with ``query`` (rotated, full) and the standard
-    error of each coded vector's."""
+def estimates(code: np.ndarray, factor: np.ndarray, rotated: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unbiased inner products of coded vectors with rotated ones, pair by pair, and their
+    standard errors."""
     d = code.shape[1]
-    value = (code @ query.T) / np.sqrt(d) / factor[:, None]
-    error = np.sqrt(np.maximum(1 - factor**2, 0) / factor**2 / max(d - 1, 1))
-    return value, error
+    value = np.einsum("nd,nd->n", code, rotated) / np.sqrt(d) / factor
+    return value, np.sqrt(np.maximum(1 - factor**2, 0) / factor**2 / max(d - 1, 1))
 
 
 def table_keys(unit: np.ndarray, tables: int = TABLES, bits: int = BITS) -> np.ndarray:
@@ -55,9 +57,16 @@ def table_keys(unit: np.ndarray, tables: int = TABLES, bits: int = BITS) -> np.n
     return (d << 40) + (np.arange(tables, dtype=np.int64) << 20) + key
 
 
-def _prepared(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
-    """(vec_id, digest, unit as bytes of doubles, keys) of usable vectors."""
-    schema, spark_schema = arrow({"vec_id": pa.int64(), "digest": pa.binary(), "unit": pa.binary(), "keys": pa.list_(pa.int64())})
+def units(raw: np.ndarray) -> np.ndarray:
+    """Unit vectors in double precision."""
+    x = raw.astype(np.float64)
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _prepared(vectors: DataFrame, id_column: str, column: str, kind: type) -> DataFrame:
+    """(vec_id, digest, components as bytes, keys) of usable vectors."""
+    schema, spark_schema = arrow({"vec_id": pa.int64(), "digest": pa.binary(), "raw": pa.binary(), "keys": pa.list_(pa.int64())})
 
     def run(batches):
         for b in batches:
@@ -72,12 +81,12 @@ def _prepared(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
                     ids, x = np.array([g[0] for g in got]), np.array([g[1] for g in got], np.float64)
                     largest = np.abs(x).max(1)
                     good = np.isfinite(largest) & (largest > 0)
-                    ids, x = ids[good], x[good] / largest[good][:, None]
+                    ids, x = ids[good], x[good]
                     if not len(ids):
                         continue
-                    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-                    raw = [u.tobytes() for u in unit]
-                    yield pa.record_batch([pa.array(ids, pa.int64()), pa.array([xxhash.xxh3_128_digest(r) for r in raw], pa.binary()), pa.array(raw, pa.binary()), pa.array(list(table_keys(unit)), pa.list_(pa.int64()))], schema=schema)
+                    unit = units(x)
+                    raw = [v.tobytes() for v in x.astype(kind)]
+                    yield pa.record_batch([pa.array(ids, pa.int64()), pa.array([xxhash.xxh3_128_digest(u.tobytes()) for u in unit], pa.binary()), pa.array(raw, pa.binary()), pa.array(list(table_keys(unit)), pa.list_(pa.int64()))], schema=schema)
 
     doubles = F.col(column).cast("array<double>")
     return vectors.select(F.col(id_column).cast("long"), doubles).mapInArrow(run, spark_schema)
@@ -89,32 +98,36 @@ def near_vectors(vectors: DataFrame, run: Run, id_column: str = "vec_id", column
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing;
     so do vectors of different length. Vectors with one direction are collapsed; a link between
     two such classes counts for all their members. A repeated vec_id counts as one member. The
-    32 tables of 12 bits are the only approximate step: whoever shares a bucket is found.
+    24 tables of 12 bits are the only approximate step: whoever shares a bucket is found.
 
     A bucket is dealt out as pairs of tiles of ``tile`` members; a pair of vectors is looked at
     in its first common table. Tasks return counts per vector and a spanning set of links.
     """
-    ready = run.store(_prepared(vectors, id_column, column), "codes")
+    element = vectors.schema[column].dataType.elementType.typeName()
+    kind = np.float32 if element == "float" else np.float64
+    ready = run.store(_prepared(vectors, id_column, column, kind), "codes")
     classes = run.store(
         ready.groupBy("digest").agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("m")), "classes")
-    reps = run.store(ready.join(classes, "digest").filter("vec_id = rep").dropDuplicates(["rep", "digest"]).select("rep", "m", "unit", "keys"), "reps")
+    reps = run.store(ready.join(classes, "digest").filter("vec_id = rep").dropDuplicates(["rep", "digest"]).select("rep", "m", "raw", "keys"), "reps")
     spread = reps.select("rep", F.posexplode("keys").alias("table", "key"))
     full = spread.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    rows = spread.join(full, "key").join(reps, "rep")
+    rows = spread.join(full, "key").join(reps.drop("keys"), "rep")
     tiles = F.ceil(F.col("n") / tile).cast("int")
     rows = rows.withColumn("tiles", tiles).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, F.col("own")).alias("i"), F.greatest(t, F.col("own")).alias("j")))
-    dealt = rows.withColumn("p", F.explode(pairs)).select("key", "p.i", "p.j", "table", "own", "rep", "m", "unit", "keys")
+    dealt = rows.withColumn("p", F.explode(pairs)).select("key", "p.i", "p.j", "table", "own", "rep", "m", "raw")
+    shares = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(shares, "key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
     schema, spark_schema = arrow({"a": pa.int64(), "n": pa.int64(), "b": pa.int64()})
 
-    def compare(x: pa.Table) -> pa.Table:
-        rep, own, m = (x[c].to_numpy() for c in ("rep", "own", "m"))
-        unit = np.frombuffer(b"".join(x["unit"].to_pylist()), np.float64).reshape(len(rep), -1)
-        keys = np.array(x["keys"].to_pylist(), np.int64)
-        i, j, table = (x[c][0].as_py() for c in ("i", "j", "table"))
-        d = unit.shape[1]
+    def compared(x: pa.Table):
+        """Counts and links of whole buckets of vectors of one length, sorted."""
+        rep, own, m, table, i, j = (x[c].to_numpy() for c in ("rep", "own", "m", "table", "i", "j"))
+        unit = units(np.frombuffer(b"".join(x["raw"].to_pylist()), kind).reshape(len(rep), -1))
+        keys, d = table_keys(unit), unit.shape[1]
         rotated, code, factor = encode(unit, rotation(d, 0))
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        place = np.stack([x["key"].to_numpy(), i, j])
+        starts = np.flatnonzero(np.append(True, (place[:, 1:] != place[:, :-1]).any(0)))
         count, parent, links = np.zeros(len(rep), np.int64), np.arange(len(rep)), []
 
         def top(v):
@@ -122,19 +135,13 @@ def near_vectors(vectors: DataFrame, run: Run, id_column: str = "vec_id", column
                 parent[v] = v = parent[parent[v]]
             return v
 
-        for part in np.array_split(left, -(-len(left) // 128)) if len(left) else []:
-            value, error = estimates(code[part], factor[part], rotated[right])
-            maybe = value + ERRORS * error[:, None] + 1e-5 >= threshold
-            if i == j:
-                maybe &= rep[part][:, None] < rep[right][None, :]
-            p, q = np.nonzero(maybe)
-            p, q = part[p], right[q]
-            if not len(p):
-                continue
-            first = ~(keys[p, :table] == keys[q, :table]).any(1)
+        def judge(p, q):
+            value, error = estimates(code[p], factor[p], rotated[q])
+            near = value + ERRORS * error + 1e-5 >= threshold
+            p, q = p[near], q[near]
+            first = ~((keys[p] == keys[q]) & (np.arange(TABLES) < table[p][:, None])).any(1)
             p, q = p[first], q[first]
-            exact = np.concatenate([np.einsum("nd,nd->n", unit[p[k : k + 65536]], unit[q[k : k + 65536]]) for k in range(0, len(p), 65536)] or [np.empty(0)])
-            linked = exact >= threshold
+            linked = np.einsum("nd,nd->n", unit[p], unit[q]) >= threshold
             p, q = p[linked], q[linked]
             np.add.at(count, p, m[q])
             np.add.at(count, q, m[p])
@@ -143,13 +150,48 @@ def near_vectors(vectors: DataFrame, run: Run, id_column: str = "vec_id", column
                 if u != v:
                     parent[u] = v
                     links.append((int(rep[a]), int(rep[b])))
+
+        held, size = [], 0
+        for a, e in zip(starts, [*starts[1:], len(rep)]):
+            left, right = a + np.flatnonzero(own[a:e] == i[a]), a + np.flatnonzero(own[a:e] == j[a])
+            for part in np.array_split(left, -(-len(left) // 64)) if len(left) else []:
+                p, q = np.repeat(part, len(right)), np.tile(right, len(part))
+                if i[a] == j[a]:
+                    p, q = p[p < q], q[p < q]
+                held.append((p, q))
+                size += len(p)
+                if size >= 1 << 16:
+                    judge(*map(np.concatenate, zip(*held)))
+                    held, size = [], 0
+        if held:
+            judge(*map(np.concatenate, zip(*held)))
         some = np.flatnonzero(count)
-        a = [*rep[some].tolist(), *(e[0] for e in links)]
+        ends = np.append(rep[some], [e[0] for e in links]).astype(np.int64)
         n = [*count[some].tolist(), *[None] * len(links)]
         b = [*[None] * len(some), *(e[1] for e in links)]
-        return pa.table([pa.array(c, pa.int64()) for c in (a, n, b)], schema=schema)
-
-    found = run.store(dealt.groupBy("key", "i", "j").applyInArrow(compare, spark_schema), "found")
+        return pa.table([pa.array(ends), pa.array(n, pa.int64()), pa.array(b, pa.int64())], schema=schema)
+
+    def run_buckets(batches):
+        rest = None
+        for batch in batches:
+            new = pa.Table.from_batches([batch])
+            rest = new if rest is None else pa.concat_tables([rest, new])
+            if rest.num_rows < 4 * tile:
+                continue
+            place = np.stack([rest[c].to_numpy() for c in ("key", "i", "j")])
+            last = np.flatnonzero((place[:, 1:] != place[:, :-1]).any(0))
+            if len(last):
+                yield from by_length(rest.slice(0, last[-1] + 1))
+                rest = rest.slice(last[-1] + 1)
+        if rest is not None and rest.num_rows:
+            yield from by_length(rest)
+
+    def by_length(x):
+        d = x["key"].to_numpy() >> 40
+        for a, e in zip((cut := [0, *(np.flatnonzero(np.diff(d)) + 1), len(d)]), cut[1:]):
+            yield from compared(x.slice(a, e - a).combine_chunks()).to_batches()
+
+    found = run.store(dealt.mapInArrow(run_buckets, spark_schema), "found")
     counts = found.filter("n is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
     labels = components(found.filter("b is not null").select("a", "b"), run)
     whole = classes.join(counts, "rep", "left").join(labels, F.col("rep") == F.col("node"), "left").select(

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm import byte_bpe, decontaminate, licenses, near_dedup, pii, quality, token_store, toxicity, vector_dedup
+from wattledger.llm import byte_bpe, decontaminate, licenses, near_dedup, pii, quality, substring_dedup, token_store, toxicity, vector_dedup
 from wattledger.llm.common import Run
 
 
@@ -64,10 +64,16 @@ def op8_winnowing(spark, sf_dir):
     return decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"), Run(spark, "op8"))
 
 
+def op9_blockwise_suffixes(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = substring_dedup.without_repeats(docs, Run(spark, "op9"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_license_automaton(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.scan(docs).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_store, op3_noisy_or_toxicity, op4_bootstrapped_pii, op5_byte_level_bpe, op6_rotated_codes, op7_circulant_minhash, op8_winnowing, op10_license_automaton)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_store, op3_noisy_or_toxicity, op4_bootstrapped_pii, op5_byte_level_bpe, op6_rotated_codes, op7_circulant_minhash, op8_winnowing, op9_blockwise_suffixes, op10_license_automaton)}
 ORACLES: dict[str, str] = {}

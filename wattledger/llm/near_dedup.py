@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.llm.common import Bloom, Hashes, Run, arrow, slices, utf8, window_hashes
@@ -74,7 +74,7 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
 
 
 def _sketches(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_shingles, digest of the set, band keys, low halves of the coordinates)."""
+    """(doc_id, n_shingles, digest of the set, band keys, coordinates)."""
     schema, spark_schema = arrow({"doc_id": pa.int64(), "n_shingles": pa.int64(), "digest": pa.binary(), "bands": pa.list_(pa.int64()), "sig": pa.binary()})
 
     def run(batches):
@@ -87,7 +87,7 @@ def _sketches(docs: DataFrame, size: int) -> DataFrame:
                 digest, bands, low = [None] * len(sets), [None] * len(sets), [None] * len(sets)
                 if full:
                     sig = signatures([sets[i] for i in full])
-                    for i, keys, s in zip(full, band_keys(sig), sig.astype(np.uint16)):
+                    for i, keys, s in zip(full, band_keys(sig), sig):
                         digest[i], bands[i], low[i] = xxhash.xxh3_128_digest(sets[i]), keys, s.tobytes()
                 yield pa.record_batch([pa.array(ids[first : first + len(sets)], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(low, pa.binary())], schema=schema)
 
@@ -117,6 +117,14 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return read.mapInArrow(run, spark_schema).join(wanted, "rep", "left_semi").dropDuplicates(["rep"])
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    small, large = sorted((len(x), len(y)))
+    if 100 * small < percent * large:
+        return False
+    same = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * same >= percent * (small + large - same)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int, members: int = 64) -> DataFrame:
     """Pairs (a, b) whose full sets reach the threshold. A hot ``a`` is dealt out in groups of
     about ``members``; its set goes once to each group."""
@@ -138,51 +146,86 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int, members: int = 64
                 if b is None:
                     own, key = x, (a, s)
                 elif key == (a, s):
-                    same = len(x) + len(own) - len(np.union1d(x, own))
-                    if 100 * same >= percent * (len(x) + len(own) - same):
+                    if _linked(x, own, percent):
                         found.append((a, b))
             yield pa.record_batch([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], schema=schema)
 
     return both.mapInArrow(run, spark_schema)
 
 
-def _across(buckets: DataFrame, reps: DataFrame, labels: DataFrame, tried: DataFrame, percent: int, take: int, tile: int = 1024) -> DataFrame:
-    """Pairs (a, b) of one bucket but different components that were not tried yet.
+def _tiles(rows: DataFrame, tile: int) -> DataFrame:
+    """``rows`` (key, n, rep, ...) dealt to all pairs (i, j) of tiles of about ``tile`` members of
+    one bucket; ``own`` is the row's tile."""
+    tiles = F.ceil(F.col("n") / tile).cast("int")
+    dealt = rows.withColumn("tiles", tiles).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, F.col("own")).alias("i"), F.greatest(t, F.col("own")).alias("j")))
+    return dealt.withColumn("p", F.explode(pairs)).select("*", "p.i", "p.j").drop("p", "tiles", "n")
 
-    Pairs whose signatures show that they can't reach the threshold are left out; of the rest
-    every member names its ``take`` best. Buckets are cut in tiles, so that a task holds two
-    tiles at a time.
-    """
+
+def _probable(x: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places (p, q) in ``x`` and agreements of the pairs between tiles i and j that lie in
+    different components, share no earlier band and may reach the threshold."""
     t = percent / 100
     least = K * t - ERRORS * (K * t * (1 - t)) ** 0.5
-    named = buckets.join(labels, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "rep").alias("c"))
-    mixed = named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1"))
-    mixed = mixed.filter("c0 < c1").select("key", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
-    rows = named.join(mixed, "key").join(reps.select("rep", "sig"), "rep")
-    own = F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda j: F.struct(F.least(j, F.col("own")).alias("i"), F.greatest(j, F.col("own")).alias("j")))
-    dealt = rows.withColumn("own", own).select("key", F.explode(pairs).alias("p"), "own", "rep", "c", "sig").select("key", "p.i", "p.j", "own", "rep", "c", "sig")
-    schema, spark_schema = arrow({"a": pa.int64(), "b": pa.int64(), "agree": pa.int32()})
-
-    def compare(x: pa.Table) -> pa.Table:
-        own, c, rep = (x[name].to_numpy() for name in ("own", "c", "rep"))
-        sig = np.frombuffer(b"".join(x["sig"].to_pylist()), np.uint16).reshape(-1, K)
-        left, right = np.flatnonzero(own == x["i"][0].as_py()), np.flatnonzero(own == x["j"][0].as_py())
-        found = [np.empty((0, 3), np.int64)]
-        for part in np.array_split(left, -(-len(left) // 32)) if len(left) else []:
-            n = (sig[part][:, None, :] == sig[right][None, :, :]).sum(2, dtype=np.int32)
-            n[c[part][:, None] == c[right][None, :]] = 0
-            p, q = np.nonzero(n >= least)
-            found.append(np.stack([rep[part][p], rep[right][q], n[p, q]], 1))
-        a, b, n = np.concatenate(found).T
-        return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(n.astype(np.int32))], schema=schema)
-
-    found = dealt.groupBy("key", "i", "j").applyInArrow(compare, spark_schema).distinct()
-    fresh = found.join(tried, ["a", "b"], "left_anti")
-    turned = fresh.union(fresh.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
-    place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("agree"), "b"))
-    chosen = turned.withColumn("k", place).filter(F.col("k") <= take)
-    return chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    own, c = x["own"].to_numpy(), x["c"].to_numpy()
+    sig = np.frombuffer(b"".join(x["sig"].to_pylist()), np.uint32).reshape(-1, K)
+    band, i, j = (x[name][0].as_py() for name in ("band", "i", "j"))
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    found = [np.empty((0, 3), np.int64)]
+    for part in np.array_split(left, -(-len(left) // 32)) if len(left) else []:
+        same = sig[part][:, None, :] == sig[right][None, :, :]
+        n = same.sum(2, dtype=np.int32)
+        before = same[:, :, : band * ROWS].reshape(*same.shape[:2], band, ROWS).all(3).any(2)
+        n[before | (c[part][:, None] == c[right][None, :])] = 0
+        p, q = np.nonzero(n >= least)
+        found.append(np.stack([part[p], right[q], n[p, q]], 1))
+    return tuple(np.concatenate(found).T)
+
+
+def _crossing(buckets: DataFrame, reps: DataFrame, labels: DataFrame, sets: DataFrame, run: Run, percent: int, tile: int = 1024) -> DataFrame:
+    """Links (a, b) that join the components found in one bucket, confirmed on full sets.
+
+    Every pair of one bucket in different components is looked at once, in its first common
+    band; a pair whose components the task has joined meanwhile is left out. So a task gives
+    fewer links than it has members, and after this no link between components is missing.
+    """
+    named = buckets.join(labels, F.col("rep") == F.col("node"), "left").select("key", "band", "rep", F.coalesce("component", "rep").alias("c"))
+    mixed = named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 < c1")
+    rows = run.store(named.join(mixed.select("key", "n"), "key").join(reps.select("rep", "sig"), "rep"), "mixed")
+    schema, spark_schema = arrow({"key": pa.int64(), "rep": pa.int64()})
+
+    def involved(x: pa.Table) -> pa.Table:
+        p, q, _ = _probable(x, percent)
+        rep = x["rep"].to_numpy()[np.unique(np.concatenate([p, q]))]
+        return pa.table([pa.array([x["key"][0].as_py()] * len(rep), pa.int64()), pa.array(rep)], schema=schema)
+
+    near = run.store(_tiles(rows, tile).groupBy("key", "i", "j").applyInArrow(involved, spark_schema).distinct(), "near")
+    size = near.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    full = rows.join(near, ["key", "rep"]).join(size, "key").drop("n").withColumnRenamed("m", "n").join(sets, "rep")
+    pair_schema, pair_spark = arrow({"a": pa.int64(), "b": pa.int64()})
+
+    def confirmed(x: pa.Table) -> pa.Table:
+        p, q, n = _probable(x, percent)
+        rep, c = x["rep"].to_numpy(), x["c"].to_pylist()
+        data = x["set"].to_pylist()
+        parent = {v: v for v in c}
+
+        def top(v):
+            while parent[v] != v:
+                parent[v] = v = parent[parent[v]]
+            return v
+
+        out = [[], []]
+        for k in np.argsort(-n, kind="stable"):
+            a, b = int(p[k]), int(q[k])
+            u, v = top(c[a]), top(c[b])
+            if u != v and _linked(np.frombuffer(data[a], np.uint64), np.frombuffer(data[b], np.uint64), percent):
+                parent[u] = v
+                out[0].append(int(min(rep[a], rep[b])))
+                out[1].append(int(max(rep[a], rep[b])))
+        return pa.table([pa.array(o, pa.int64()) for o in out], schema=pair_schema)
+
+    return _tiles(full, tile).groupBy("key", "i", "j").applyInArrow(confirmed, pair_spark).distinct()
 
 
 def near_duplicates(docs: DataFrame, run: Run, size: int = 5, percent: int = 80) -> DataFrame:
@@ -194,8 +237,7 @@ def near_duplicates(docs: DataFrame, run: Run, size: int = 5, percent: int = 80)
     any others; rows without doc_id are returned as their own, without a class.
 
     Equal sets are collapsed before banding. Of each bucket only links to its smallest member
-    are tried first, one per member; then, round by round, what remains between components of
-    one bucket. Every link is confirmed on full sets.
+    are tried first, one per member; then what remains between components of one bucket. Every link is confirmed on full sets.
     """
     sketch = run.store(_sketches(docs, size), "sketches")
     known = sketch.filter("n_shingles > 0 and doc_id is not null")
@@ -203,22 +245,17 @@ def near_duplicates(docs: DataFrame, run: Run, size: int = 5, percent: int = 80)
     reps = run.store(
         known.join(classes, "digest").filter("doc_id = rep").dropDuplicates(["rep"]).select("rep", "bands", "sig"), "reps")
     # A doc_id whose rows have different texts stands for each of them.
-    spread = reps.select("rep", F.explode("bands").alias("key"))
+    spread = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     full = spread.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("first")).filter("n > 1")
-    buckets = run.store(spread.join(full, "key").select("key", "rep", "first"), "buckets")
+    buckets = run.store(spread.join(full, "key").select("key", "band", "rep", "first"), "buckets")
     sets = run.store(_sets(docs, buckets.select("rep").distinct(), size), "sets")
     star = buckets.filter("rep <> first").groupBy("rep", "first").agg(F.count(F.lit(1)).alias("n"))
     star = star.groupBy("rep").agg(F.max_by("first", F.struct("n", -F.col("first"))).alias("first"))
     pairs = run.store(star.select(F.least("rep", "first").alias("a"), F.greatest("rep", "first").alias("b")).distinct(), "pairs")
     links = run.store(_verified(pairs, sets, percent), "links")
     labels = components(links, run)
-    tried, take = pairs, 2
-    while True:
-        pairs = run.store(_across(buckets, reps, labels, tried, percent, take), "pairs")
-        if not pairs.limit(1).count():
-            break
-        links = links.union(run.store(_verified(pairs, sets, percent), "links"))
-        labels, tried, take = components(links, run), tried.union(pairs), take * 4
+    crossing = run.store(_crossing(buckets, reps, labels, sets, run, percent), "links")
+    labels = components(links.union(crossing), run)
     whole = classes.join(labels, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     out = sketch.select("doc_id", "n_shingles", "digest").join(whole, "digest", "left")
     component = F.coalesce("component_id", "doc_id")

@@ -31,8 +31,12 @@ def prefix(c: Column, n: int) -> Column:
 
 
 def digits_number(c: Column) -> Column:
-    """All digits of a text read as one integer, 0 when there are none ("9 to 14" → 914)."""
-    return F.coalesce(F.regexp_replace(c, "[^0-9]", "").try_cast("int"), F.lit(0))
+    """All digits of a text read as one integer ("9 to 14" → 914).
+
+    0 when there are none, null when they do not fit 64 bits.
+    """
+    digits = F.regexp_replace(c, "[^0-9]", "")
+    return F.when(digits == "", F.lit(0).cast("bigint")).otherwise(digits.try_cast("bigint"))
 
 
 def first_number(c: Column) -> Column:

@@ -42,7 +42,6 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
 def restrict_to_dates(df: DataFrame, dates: DataFrame, column: str = "date") -> DataFrame:
     """Keep rows whose date is in ``dates``.
 
-    The date set is made distinct first, so it holds at most one 4-byte row per calendar
-    day; that bound is what allows the broadcast, and the large side is never shuffled.
+    The set is made distinct first; adaptive execution broadcasts it if it is small.
     """
-    return df.join(F.broadcast(dates.select(column).distinct()), column, "left_semi")
+    return df.join(dates.select(column).distinct(), column, "left_semi")

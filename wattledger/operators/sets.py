@@ -56,7 +56,8 @@ def concat(frames: list[DataFrame], like: DataFrame | None = None) -> DataFrame
 
 
 def date_intersection(*frames: DataFrame) -> DataFrame:
-    return reduce(DataFrame.intersect, [f.select("date") for f in frames])
+    """Dates in all frames; each feed is reduced to its dates before they meet."""
+    return reduce(DataFrame.intersect, [f.select("date").distinct() for f in frames])
 
 
 def date_union(*frames: DataFrame) -> DataFrame:
@@ -96,4 +97,4 @@ def head(df: DataFrame, n: int, *order: str) -> DataFrame:
 def first_labels(df: DataFrame, column: str, n: int = 3) -> DataFrame:
     """Rows of the first ``n`` labels by name (the label set has exactly n rows)."""
     labels = df.select(column).distinct().orderBy(column).limit(n)
-    return df.join(F.broadcast(labels), column, "left_semi")
+    return df.join(labels, column, "left_semi")

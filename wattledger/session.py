@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,18 +26,10 @@ def build_session(app: str = "wattledger", master: str | None = None, **conf) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach, from ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder of its own.
-    """
+    """Folder all executors can reach: ``spark.checkpoint.dir``, or, where that is unset, a
+    folder of the warehouse, whatever the master."""
     folder = spark.conf.get(_CHECKPOINT, None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_CHECKPOINT} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set(_CHECKPOINT, folder)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -69,8 +69,6 @@ NOISE_LOW = 50
 NOISE_HIGH = 200
 
 # Export, training and forecast defaults.
-EXPORT_ROWS = 1000
-FEED_ROWS = 1000
 VALIDATION_SHARE = 0.2
 SEED = 42
 RIDGE_ALPHA = 1.0

@@ -60,28 +60,36 @@ def _periods(payloads: DataFrame) -> DataFrame:
     return payloads.select(F.explode("properties.periods").alias("p"))
 
 
-def parse_forecast(payloads: DataFrame, wind: str = "first") -> DataFrame:
+def parse_forecast(
+    payloads: DataFrame, wind: str = "first", max_chars: int | None = None
+) -> DataFrame:
     """(date, temperature_f, wind_speed, forecast, data_source), one row per period.
 
     ``wind="first"`` takes the first number of a range such as "9 to 14 mph" (9);
-    ``wind="digits"`` joins all its digits (914), as the original loader does.
+    ``wind="digits"`` joins all its digits (914), as the original loader does. ``max_chars``
+    cuts the forecast text, which is kept whole by default.
     """
     text = F.coalesce(F.col("p.windSpeed"), F.lit("0 mph"))
     if wind == "digits":
         speed = scalars.digits_number(text)
     else:
         speed = F.coalesce(scalars.first_number(text).cast("int"), F.lit(0))
+    words = F.coalesce(F.col("p.shortForecast"), F.lit(""))
+    if max_chars is not None:
+        words = scalars.prefix(words, max_chars)
     return _periods(payloads).select(
         scalars.text_date(F.col("p.startTime")).alias("date"),
         _temperature(F.col("p.temperature")).alias("temperature_f"),
         speed.alias("wind_speed"),
-        scalars.prefix(F.coalesce(F.col("p.shortForecast"), F.lit("")), 50).alias("forecast"),
+        words.alias("forecast"),
         F.lit(cfg_tag("raw_weather_data")).alias("data_source"),
     )
 
 
-def read_forecast(spark: SparkSession, path, wind: str = "first") -> DataFrame:
-    return parse_forecast(_read(spark, path, schemas.FORECAST_PAYLOAD), wind)
+def read_forecast(
+    spark: SparkSession, path, wind: str = "first", max_chars: int | None = None
+) -> DataFrame:
+    return parse_forecast(_read(spark, path, schemas.FORECAST_PAYLOAD), wind, max_chars)
 
 
 def parse_forecast_wide(payloads: DataFrame) -> DataFrame:
@@ -217,7 +225,7 @@ def feed_filter(
     end,
     respondent: str = cfg.RESPONDENT,
     fuels: Sequence[str] = tuple(cfg.FUELS),
-    limit: int | None = cfg.FEED_ROWS,
+    limit: int | None = None,
 ) -> DataFrame:
     """The request facets as a query: region, fuels, date range, newest first, row cap."""
     kept = df.filter(

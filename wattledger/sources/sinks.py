@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattledger import schemas
-from wattledger import settings as cfg
 from wattledger.operators import filters
 
 
@@ -27,21 +26,19 @@ EXPORT_REQUIRED = [
 ]
 
 
-def training_rows(features: DataFrame, n: int = cfg.EXPORT_ROWS, keep_date: bool = False):
-    """The newest ``n`` complete feature days, in the training column order.
+def training_rows(features: DataFrame, n: int | None = None, keep_date: bool = False):
+    """All complete feature days (the newest ``n``, if given), in the training column order.
 
     ``keep_date`` also keeps the date, which is what gives later fills their order.
     """
     columns = [*schemas.FEATURES, schemas.TARGET]
-    return (
-        filters.require(features, EXPORT_REQUIRED)
-        .orderBy(F.col("date").desc())
-        .limit(n)
-        .select(*(["date"] if keep_date else []), *columns)
-    )
+    complete = filters.require(features, EXPORT_REQUIRED)
+    if n is not None:
+        complete = complete.orderBy(F.col("date").desc()).limit(n)
+    return complete.select(*(["date"] if keep_date else []), *columns)
 
 
-def export_training(features: DataFrame, path: str, n: int = cfg.EXPORT_ROWS) -> None:
+def export_training(features: DataFrame, path: str, n: int | None = None) -> None:
     training_rows(features, n, keep_date=True).write.mode("overwrite").csv(path, header=True)
 
 

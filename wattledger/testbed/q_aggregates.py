@@ -18,7 +18,7 @@ from wattledger.testbed.q_tables import (
     EVALUATED,
     FEAT_SQL,
     INDEX_SQL,
-    JN3_ON,
+    JN3_FROM,
     LATEST_MODEL_SQL,
     LIQ,
     PRED,
@@ -123,7 +123,7 @@ WEEKLY_SQL = f"""SELECT CAST(date_trunc('week', mf.date) AS DATE) AS week_start,
   {R(f'avg(mf.{LIQ})')} AS avg_liquidity_need,
   {R(f'avg(mp.{PRED})')} AS avg_predicted_liquidity,
   {R(f'avg(abs(mf.{LIQ} - mp.{PRED}))')} AS avg_prediction_error
-FROM feat mf LEFT JOIN pred mp ON {JN3_ON}
+FROM {JN3_FROM}
 WHERE mp.{PRED} IS NOT NULL GROUP BY 1"""
 
 
@@ -670,8 +670,9 @@ def _(t):
     f"SELECT date, indicator, {R('value')} AS value FROM econ",
 )
 def _(t):
-    names = list(cfg.SERIES_INDICATORS.values())
-    return sets.concat([t.economic.filter(col("indicator") == n) for n in names])
+    # Both halves of the orders' series, each its own frame.
+    known = col("indicator").isin(*cfg.SERIES_INDICATORS.values())
+    return sets.concat([t.economic.filter(known), t.economic.filter(~known)])
 
 
 @query(
@@ -703,7 +704,7 @@ E3 = f"abs(mf.{LIQ} - mp.{PRED})"
   {R(E3)} AS prediction_error_millions,
   CASE WHEN mp.{PRED} IS NULL THEN 'No Prediction' WHEN {E3} <= 10 THEN 'Accurate'
     WHEN {E3} <= 25 THEN 'Acceptable' ELSE 'Poor' END AS prediction_quality
-FROM feat mf LEFT JOIN pred mp ON {JN3_ON}""",
+FROM {JN3_FROM}""",
 )
 def _(t):
     return views.daily_energy_dashboard(t.features, t.predictions)

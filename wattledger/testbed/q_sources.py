@@ -93,7 +93,7 @@ TEMP_SQL = "CASE WHEN obs_id % 10 <> 0 THEN CAST(floor(temperature_f) AS INTEGER
 @query(
     "src2_forecast",
     f"SELECT date, {TEMP_SQL} AS temperature_f, CASE WHEN obs_id % 3 < 2 THEN wind_speed ELSE 0 "
-    f"END AS wind_speed, substr(forecast || '{LONG_TEXT}', 1, 50) AS forecast, "
+    f"END AS wind_speed, forecast || '{LONG_TEXT}' AS forecast, "
     "'NOAA' AS data_source FROM obs",
 )
 def _(t):
@@ -108,7 +108,7 @@ def _(t):
     f"substr(forecast || '{LONG_TEXT}', 1, 50) AS forecast, 'NOAA' AS data_source FROM obs",
 )
 def _(t):
-    return payloads.parse_forecast(forecast_payloads(t), wind="digits")
+    return payloads.parse_forecast(forecast_payloads(t), wind="digits", max_chars=50)
 
 
 @query(
@@ -227,6 +227,16 @@ def _(t):
     return payloads.feed_filter(t.readings, start, AS_OF, fuels=["NG", "SUN"], limit=100)
 
 
+@query(
+    "src8_feed_filter_all",
+    f"""SELECT date, fuel_type, {R('generation_mwh')} AS generation_mwh, respondent FROM readings
+WHERE respondent = 'CAL' AND fuel_type IN ('NG', 'SUN') AND date BETWEEN {D} - 730 AND {D}""",
+)
+def _(t):
+    start = F.date_sub(sc.as_date(AS_OF), 730)
+    return payloads.feed_filter(t.readings, start, AS_OF, fuels=["NG", "SUN"])
+
+
 # ---- file loads -------------------------------------------------------------------------
 
 

@@ -37,10 +37,11 @@ def _(t):
 
 @query(
     "flt2_from_date",
-    f"SELECT date, model_version, {R(PRED)} AS {PRED} FROM pred WHERE date >= {D}",
+    f"SELECT date, model_version, {R(PRED)} AS {PRED} FROM pred WHERE date >= {D} - 30",
 )
 def _(t):
-    return fl.from_date(t.predictions, AS_OF).select("date", "model_version", PRED)
+    start = F.date_sub(sc.as_date(AS_OF), 30)
+    return fl.from_date(t.predictions, start).select("date", "model_version", PRED)
 
 
 @query(
@@ -635,15 +636,22 @@ def _(t):
     )
 
 
-JN3_ON = """mf.date = mp.date AND mp.model_version = (
-  SELECT model_version FROM pred q WHERE q.date = mf.date
-  ORDER BY prediction_timestamp DESC NULLS FIRST, model_version DESC LIMIT 1)"""
+# Per date the prediction made last; one without a time counts as made last of all.
+LAST_PRED = """(SELECT date, arg_max(p, made) AS p FROM (
+    SELECT date, {'model_version': model_version,
+      'predicted_liquidity_millions': predicted_liquidity_millions} AS p,
+      {'unknown': prediction_timestamp IS NULL,
+       'at': coalesce(prediction_timestamp, TIMESTAMP '1970-01-01'), 'v': model_version} AS made
+    FROM pred) GROUP BY date)"""
+JN3_FROM = f"""feat mf LEFT JOIN (SELECT date, p.model_version AS model_version,
+  p.predicted_liquidity_millions AS predicted_liquidity_millions FROM {LAST_PRED}) mp
+  ON mf.date = mp.date"""
 
 
 @query(
     "jn3_latest_prediction",
     f"SELECT mf.date, {R('mf.' + LIQ)} AS {LIQ}, mp.model_version, {R('mp.' + PRED)} AS {PRED} "
-    f"FROM feat mf LEFT JOIN pred mp ON {JN3_ON}",
+    f"FROM {JN3_FROM}",
 )
 def _(t):
     return jn.join_latest_prediction(t.features, t.predictions).select(

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from wattledger.functions import scalars
 from wattledger.plans import features as feats
 
-AS_OF = "1999-01-30"
-EVENT_SHIFT_DAYS = 9131
+# Last day of the data. Events and orders are moved by whole days so that they end there too.
+AS_OF = "2001-11-04"
+EVENT_SHIFT_DAYS = 8122
+ORDER_SHIFT_DAYS = 95
 GENERATION_WEIGHT = 0.0005
 OIL_WEIGHT = 0.5
 
@@ -27,14 +29,22 @@ FORECASTS = {
     "error": "Fog",
 }
 SERIES_OF_PRIORITY = {"1": "DCOILWTICO", "2": "INDPRO", "3": "CAUR", "4": "GASREGW"}
+# The fifth priority stands for a series that the pivots do not know.
 INDICATOR_OF_PRIORITY = {
     "1": "crude_oil_price_wti",
     "2": "industrial_production_index",
     "3": "california_unemployment_rate",
     "4": "gasoline_price_regular",
+    "5": "housing_starts",
 }
 # Hundredths at zero and order value (in hundredths of a dollar) per hundredth, by priority.
-INDICATOR_SCALE = {"1": (4000, 10000), "2": (9000, 25000), "3": (200, 80000), "4": (200, 250000)}
+INDICATOR_SCALE = {
+    "1": (4000, 10000),
+    "2": (9000, 25000),
+    "3": (200, 80000),
+    "4": (200, 250000),
+    "5": (100, 50000),
+}
 
 
 def choose(c: Column, table: dict[str, str]) -> Column:
@@ -102,9 +112,8 @@ class Tables:
     @cached_property
     def weather(self) -> DataFrame:
         """Two forecast periods a day."""
-        capped = cents(F.least(F.col("temperature_f"), F.lit(250.0)))
         grouped = self.observations.groupBy("date", "period").agg(
-            F.sum(capped).alias("s"),
+            F.sum(cents(F.col("temperature_f"))).alias("s"),
             F.count(F.lit(1)).alias("n"),
             F.max("obs_id").alias("last_id"),
             F.max_by("forecast", "obs_id").alias("forecast"),
@@ -123,9 +132,8 @@ class Tables:
 
     @cached_property
     def economic(self) -> DataFrame:
-        o = self.source("orders").filter(~F.col("o_orderpriority").startswith("5"))
-        grouped = o.groupBy(
-            F.col("o_orderdate").cast("date").alias("date"),
+        grouped = self.source("orders").groupBy(
+            F.date_add(F.col("o_orderdate").cast("date"), ORDER_SHIFT_DAYS).alias("date"),
             F.substring("o_orderpriority", 1, 1).alias("p"),
         ).agg(F.max(cents(F.col("o_totalprice"))).alias("v"))
         value = None
@@ -142,7 +150,7 @@ class Tables:
     @cached_property
     def price(self) -> DataFrame:
         grouped = self.source("orders").groupBy(
-            F.col("o_orderdate").cast("date").alias("date"),
+            F.date_add(F.col("o_orderdate").cast("date"), ORDER_SHIFT_DAYS).alias("date"),
             F.concat(F.lit("M"), "o_orderstatus").alias("market"),
         ).agg(F.sum(cents(F.col("o_totalprice"))).alias("s"), F.count(F.lit(1)).alias("n"))
         return grouped.select(
@@ -164,7 +172,7 @@ class Tables:
             noise=scalars.noise_from_date(F.col("date"), 0, 150),
             generation_weight=GENERATION_WEIGHT,
             oil_weight=OIL_WEIGHT,
-        ).filter(F.col("date") <= scalars.as_date(AS_OF))
+        )
 
     @cached_property
     def features(self) -> DataFrame:
@@ -252,34 +260,37 @@ FROM events""",
     AS temperature_f,
   CAST(last_id % 31 AS INTEGER) AS wind_speed, forecast
 FROM (SELECT date, period,
-        CAST(sum(CAST(round(least(temperature_f, 250) * 100) AS BIGINT)) AS BIGINT) AS s,
+        CAST(sum(CAST(round(temperature_f * 100) AS BIGINT)) AS BIGINT) AS s,
         count(*) AS n, max(obs_id) AS last_id, arg_max(forecast, obs_id) AS forecast
       FROM obs GROUP BY date, period)""",
     ),
     "econ": (
         (),
-        """SELECT date,
+        f"""SELECT date,
   CASE p WHEN '1' THEN 'crude_oil_price_wti' WHEN '2' THEN 'industrial_production_index'
-    WHEN '3' THEN 'california_unemployment_rate' WHEN '4' THEN 'gasoline_price_regular' END
+    WHEN '3' THEN 'california_unemployment_rate' WHEN '4' THEN 'gasoline_price_regular'
+    WHEN '5' THEN 'housing_starts' END
     AS indicator,
   CAST(CASE p WHEN '1' THEN 4000 + v // 10000 WHEN '2' THEN 9000 + v // 25000
-    WHEN '3' THEN 200 + v // 80000 WHEN '4' THEN 200 + v // 250000 END AS DOUBLE) / 100
+    WHEN '3' THEN 200 + v // 80000 WHEN '4' THEN 200 + v // 250000
+    WHEN '5' THEN 100 + v // 50000 END AS DOUBLE) / 100
     AS value
-FROM (SELECT CAST(o_orderdate AS DATE) AS date, substr(o_orderpriority, 1, 1) AS p,
+FROM (SELECT CAST(o_orderdate AS DATE) + {ORDER_SHIFT_DAYS} AS date,
+        substr(o_orderpriority, 1, 1) AS p,
         max(CAST(round(o_totalprice * 100) AS BIGINT)) AS v
-      FROM orders WHERE o_orderpriority NOT LIKE '5%' GROUP BY ALL)""",
+      FROM orders GROUP BY ALL)""",
     ),
     "price": (
         (),
-        """SELECT date, 'wholesale_electricity' AS price_type,
+        f"""SELECT date, 'wholesale_electricity' AS price_type,
   CAST(s // (n * 5000) AS DOUBLE) / 100 AS price_per_mwh, market
-FROM (SELECT CAST(o_orderdate AS DATE) AS date, 'M' || o_orderstatus AS market,
+FROM (SELECT CAST(o_orderdate AS DATE) + {ORDER_SHIFT_DAYS} AS date, 'M' || o_orderstatus AS market,
         CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS s, count(*) AS n
       FROM orders GROUP BY ALL)""",
     ),
     "feat": (
         ("gen", "wx", "econ", "price"),
-        f"""SELECT g.date, g.total_generation_mwh, w.avg_temperature_f, e.oil_price_usd,
+        """SELECT g.date, g.total_generation_mwh, w.avg_temperature_f, e.oil_price_usd,
   e.industrial_production_index, e.ca_unemployment_rate, p.avg_electricity_price,
   g.total_generation_mwh * 5e-4 + coalesce(e.oil_price_usd, 50) * 5e-1
     + (date_diff('day', DATE '1970-01-01', g.date) * 7919) % 151 AS liquidity_need_millions
@@ -294,8 +305,7 @@ LEFT JOIN (SELECT date,
       AS ca_unemployment_rate
   FROM econ GROUP BY date) e ON g.date = e.date
 LEFT JOIN (SELECT date, avg(price_per_mwh) AS avg_electricity_price FROM price GROUP BY date) p
-  ON g.date = p.date
-WHERE g.date <= DATE '{AS_OF}'""",
+  ON g.date = p.date""",
     ),
     "pred": (
         ("feat",),

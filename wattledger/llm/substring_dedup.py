@@ -62,12 +62,12 @@ class Slice:
         empty = np.empty(0, np.int64)
         self.first = self.last = self.anchor = self.doc = empty
         self.bounds, self.fp = bounds, np.empty(0, np.uint64)
-        if len(self.data) < length:
+        usable = sizes >= length
+        if not usable.any():
             return
         h = gram_hashes(self.data, GRAM)
         at = anchors(h, length - GRAM + 1)
         inside = np.zeros(len(at), bool)
-        usable = sizes >= length
         inside[spread(bounds[usable], sizes[usable] - length + 1)] = True
         starts = np.flatnonzero(inside)
         at = at[starts]

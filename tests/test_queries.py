@@ -23,6 +23,7 @@ def con():
 def test_query(spark, con, key):
     said = compare(spark, con, FOLDER, key)
     assert said.startswith(("ok", "rows")), said
+    assert said.split()[1] != "0", said
 
 
 def test_entry(spark):

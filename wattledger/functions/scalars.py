@@ -35,7 +35,7 @@ def digits_number(c: Column) -> Column:
 
     0 when there are none, null when they do not fit 64 bits.
     """
-    digits = F.regexp_replace(c, "[^0-9]", "")
+    digits = F.coalesce(F.regexp_replace(c, "[^0-9]", ""), F.lit(""))
     return F.when(digits == "", F.lit(0).cast("bigint")).otherwise(digits.try_cast("bigint"))
 
 

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wattledger import schemas
+from wattledger.operators import quality
 from wattledger.plans import features as feats
 from wattledger.plans import model as ml
 from wattledger.plans import views
-from wattledger.sources import sinks
+from wattledger.session import materialize
+from wattledger.sources import files, sinks
 from wattledger.streaming import incremental
 
 RAW = ["raw_eia_data", "raw_weather_data", "raw_economic_data", "raw_price_data"]
@@ -34,8 +40,43 @@ def build_features(spark: SparkSession, store: str, **weights) -> DataFrame:
     instead of aggregating the raw feeds again.
     """
     raw = [table(spark, store, t) for t in RAW]
-    sinks.write_clustered(feats.ml_features(*raw, **weights), f"{store}/ml_features")
-    return spark.read.parquet(f"{store}/ml_features")
+    shaped = schemas.select_typed(feats.ml_features(*raw, **weights), "ml_features")
+    # Stored before it is ranged: ranging reads its input twice.
+    sinks.write_clustered(materialize(shaped, "ml_features"), f"{store}/ml_features")
+    return table(spark, store, "ml_features")
+
+
+def save_checks(features: DataFrame, predictions: DataFrame, as_of, store: str) -> None:
+    """The run's quality rows and model scores, kept by run date: a repeated run replaces its
+    own."""
+    checks = [
+        quality.row_count(features, as_of),
+        quality.freshness(features, as_of),
+        quality.completeness(features, as_of),
+        quality.accuracy(features, predictions, as_of),
+    ]
+    rows = reduce(DataFrame.unionByName, checks)
+    sinks.land_raw(rows, f"{store}/data_quality_metrics", as_of)
+    scores = ml.performance_rows(features, predictions, as_of)
+    sinks.land_raw(scores, f"{store}/model_performance", as_of)
+
+
+def save_rejected(spark: SparkSession, landing: str, store: str, run_date) -> dict[str, int]:
+    """Stores the records that the loads skip, and counts them, by table; run dates without
+    files are left out."""
+    counts = {}
+    for name in RAW:
+        try:
+            bad = files.rejected(spark, f"{landing}/{name}", name, run_date)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            continue
+        sinks.land_raw(bad, f"{store}/_rejected/{name}", run_date)
+        counts[name] = spark.read.parquet(f"{store}/_rejected/{name}").filter(
+            F.col("run_date") == str(run_date)
+        ).count()
+    return counts
 
 
 def train_and_forecast(
@@ -52,7 +93,9 @@ def train_and_forecast(
     return model, table(spark, store, "ml_predictions")
 
 
-def publish(features: DataFrame, predictions: DataFrame, generation: DataFrame, as_of):
+def publish(
+    features: DataFrame, predictions: DataFrame, generation: DataFrame, weather: DataFrame, as_of
+):
     """The reporting views by name."""
     return {
         "daily_energy_dashboard": views.daily_energy_dashboard(features, predictions),
@@ -61,6 +104,7 @@ def publish(features: DataFrame, predictions: DataFrame, generation: DataFrame,
         "executive_kpis": views.executive_kpis(features, predictions, as_of),
         "liquidity_time_series": views.liquidity_time_series(features, predictions, as_of),
         "daily_generation_by_fuel": views.daily_generation_by_fuel(generation, as_of),
+        "weather_energy_correlation": views.weather_energy_correlation(features, weather, as_of),
         "economic_indicators_impact": views.economic_indicators_impact(features, as_of),
         "model_performance_trend": views.model_performance_trend(features, predictions, as_of),
         "risk_analysis": views.risk_analysis(features, predictions, as_of),
@@ -75,5 +119,6 @@ def run(
     ingest(spark, landing, store)
     features = build_features(spark, store, **weights)
     model, predictions = train_and_forecast(spark, features, as_of, store, model_type)
-    generation = table(spark, store, "raw_eia_data")
-    return model, publish(features, predictions, generation, as_of)
+    save_checks(features, predictions, as_of, store)
+    generation, weather = (table(spark, store, t) for t in ("raw_eia_data", "raw_weather_data"))
+    return model, publish(features, predictions, generation, weather, as_of)

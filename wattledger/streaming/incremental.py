@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from wattledger.sources import files
 
@@ -45,16 +46,28 @@ def load_new_files(
     """Append all files landed since the last run to the parquet folder ``target``.
 
     The checkpoint records which files were read, so a second run adds nothing, and a run
-    that died half way continues. Returns the records read, bad ones included.
+    that died half way continues. Every batch is an ordinary table append into its own
+    ``load`` partition, which a repeated batch replaces; other writers' files in ``target``
+    stay visible. Returns the rows added.
     """
+    counts: list[int] = []
+    name = checkpoint.rstrip("/").rpartition("/")[2]
+
+    def add(batch: DataFrame, number: int) -> None:
+        seen = Observation()
+        observed = batch.observe(seen, F.count(F.lit(1)).alias("n"))
+        landed = observed.withColumn("load", F.lit(f"{name}-{number}"))
+        landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "load"
+        ).parquet(target)
+        counts.append(seen.get["n"])
+
     query = (
         new_rows(spark, landing, table, max_files, clean)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", target)
+        .writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return sum(p.numInputRows for p in query.recentProgress)
+    return sum(counts)

@@ -138,7 +138,11 @@ def _(t):
     return model.fit(stored_training(t)).importances(t.spark)
 
 
-@query("mla9_save_metadata")
+@query(
+    "mla9_save_metadata",
+    "SELECT 'linear_regression' AS model_type, "
+    "CAST(count(*) - ceil(count(*) * CAST(0.2 AS DOUBLE)) AS BIGINT) AS n_train_samples FROM feat",
+)
 def _(t):
     path = scratch_path(t.spark, "model")
     _fit(t, "linear_regression").save(t.spark, path)
@@ -150,12 +154,20 @@ def _(t):
     )
 
 
-@query("mla10_load_predict")
+@query(
+    "mla10_load_predict",
+    "SELECT date, CAST(0 AS DOUBLE) AS difference FROM feat",
+)
 def _(t):
     path = scratch_path(t.spark, "model")
     rows = stored_training(t)
-    ml.LiquidityModel("ridge").train(rows).save(t.spark, path)
-    return ml.LiquidityModel.load(t.spark, path).predict(rows).select("date", "prediction")
+    model = ml.LiquidityModel("ridge").train(rows)
+    model.save(t.spark, path)
+    loaded = ml.LiquidityModel.load(t.spark, path).predict(rows)
+    fresh = model.predict(rows).select("date", F.col("prediction").alias("fresh"))
+    return loaded.join(fresh, "date").select(
+        "date", F.abs(F.col("prediction") - F.col("fresh")).alias("difference")
+    )
 
 
 @query("mla11_forecast")
@@ -180,6 +192,44 @@ def _(t):
     return ml.compare(ml.LiquidityModel().fit(rows), rows)
 
 
+@query(
+    "mla13_compare_one_feature",
+    f"""SELECT date, {R('y')} AS actual, {R('a + b * x')} AS predicted
+FROM (SELECT date, total_generation_mwh AS x, {LIQ} AS y FROM feat),
+  (SELECT regr_slope({LIQ}, total_generation_mwh) AS b,
+     regr_intercept({LIQ}, total_generation_mwh) AS a FROM feat)""",
+)
+def _(t):
+    model = ml.LiquidityModel(features=["total_generation_mwh"]).fit(t.features)
+    return model.predict(t.features).select(
+        "date", col(LIQ).alias("actual"), col("prediction").alias("predicted")
+    )
+
+
+@query(
+    "mla6_forest_range",
+    "SELECT date, true AS inside FROM feat",
+)
+def _(t):
+    """A forest predicts means of targets, so never outside their range."""
+    rows = stored_training(t)
+    model = ml.LiquidityModel("random_forest", params={"trees": 5, "depth": 4}).fit(rows)
+    ends = rows.agg(F.min(LIQ).alias("lo"), F.max(LIQ).alias("hi"))
+    inside = col("prediction").between(ends.select("lo").scalar(), ends.select("hi").scalar())
+    return model.predict(rows).select("date", inside.alias("inside"))
+
+
+@query("mla8_importance_sum", "SELECT count(*) > 0 AS whole FROM feat")
+def _(t):
+    """Importances are shares: none negative, 1 in all."""
+    model = ml.LiquidityModel("random_forest", params={"trees": 5, "depth": 4})
+    shares = model.fit(stored_training(t)).importances(t.spark)
+    value = [f.name for f in shares.schema.fields if f.dataType.typeName() == "double"][0]
+    return shares.agg(
+        ((F.abs(F.sum(value) - 1) < 1e-6) & (F.min(value) >= 0)).alias("whole")
+    )
+
+
 # ---- data quality -----------------------------------------------------------------------
 
 

@@ -565,7 +565,7 @@ def _(t):
     return t.source("events").select("event_id", label.alias("label"))
 
 
-@query("sca23_load_time")
+@query("sca23_load_time", "SELECT date, fuel_type, true AS stamped FROM gen")
 def _(t):
     stamped = t.generation.withColumn("created_at", F.current_timestamp())
     return stamped.select(

@@ -17,6 +17,9 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,17 @@ from wattledger.llm.common import Run, arrow, ship, slices
 BORDER, UNSAFE = re.compile(r" (?=\S)"), re.compile(r" (?:\s|\Z)")
 
 
+class _Both(dict):
+    """What is known for good, then what this slice needs besides."""
+
+    def __init__(self, known: dict, found: dict):
+        super().__init__(found)
+        self.known = known
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.known[piece]
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, each distinct piece encoded once.
 
@@ -38,27 +52,42 @@ class Encoder:
     so the ids of a text are those of its pieces.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.most = most
-        self.ids: dict[str, np.ndarray] = {}
+        # Serialised ids of pieces, those after a space without it, and of beginnings.
+        self.after: dict[str, bytes] = {}
+        self.begin: dict[str, bytes] = {}
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = "H" if self.width == 2 else "I"
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        lists = []
-        for text in texts:
-            parts = BORDER.split(text) if UNSAFE.search(text) else text.split(" ")
-            lists.append([parts[0], *[" " + p for p in parts[1:]]])
-        if len(self.ids) > self.most:
-            self.ids.clear()
-        new = list(set().union(*lists).difference(self.ids))
-        for piece, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.ids[piece] = np.array(e.ids, np.uint32)
-        return [np.concatenate([self.ids[p] for p in parts]) for parts in lists]
+    def _ids(self, known: dict[str, bytes], wanted: set[str], lead: str) -> dict[str, bytes]:
+        """Ids of the wanted pieces; the first ``most`` pieces met stay known."""
+        new = list(wanted.difference(known))
+        got = self.tokenizer.encode_batch_fast([lead + p for p in new], add_special_tokens=False)
+        found = {p: array(self.kind, e.ids).tobytes() for p, e in zip(new, got)}
+        if len(known) < self.most:
+            known.update(found)
+            return known
+        return _Both(known, found)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, ``width`` bytes each."""
+        lists = [BORDER.split(t) if UNSAFE.search(t) else t.split(" ") for t in texts]
+        heads = [parts.pop(0) for parts in lists]
+        begin = self._ids(self.begin, set(heads), "")
+        after = self._ids(self.after, set(chain.from_iterable(lists)), " ")
+        return [begin[h] + b"".join(map(after.__getitem__, parts)) for h, parts in zip(heads, lists)]
+
+
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """One encoder for all tasks of a worker."""
+    return Encoder(path)
 
 
 def dictionary_sample(documents: DataFrame, tokenizer: str, rows: int, piece: int) -> list[bytes]:
@@ -68,11 +97,10 @@ def dictionary_sample(documents: DataFrame, tokenizer: str, rows: int, piece: in
     texts = documents.join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
 
     def run(batches):
-        encoder = Encoder(tokenizer)
-        kind = np.uint16 if encoder.width == 2 else np.uint32
+        encoder = encoder_of(tokenizer)
         for b in batches:
             for first, part in slices(b, 1, 1 << 20):
-                raw = [x.astype(kind).tobytes() for x in encoder.encode(part)]
+                raw = encoder.encode(part)
                 half = [(len(r) - piece) // 2 // 4 * 4 if len(r) > piece else 0 for r in raw]
                 yield pa.record_batch([b.column(0).slice(first, len(part)), pa.array([r[h : h + piece] for r, h in zip(raw, half)], pa.binary())], ["doc_id", "s"])
 
@@ -101,14 +129,14 @@ def write(documents: DataFrame, folder: str, run: Run, tokenizer: str, end_id: i
     schema, spark_schema = arrow({"doc_id": pa.int64(), "n": pa.int64(), "frame": pa.binary()})
 
     def compress(batches):
-        encoder, shared = Encoder(tokenizer), zstandard.ZstdCompressionDict(data) if data else None
+        encoder, shared = encoder_of(tokenizer), zstandard.ZstdCompressionDict(data) if data else None
         writer = zstandard.ZstdCompressor(level=level, dict_data=shared)
-        kind = np.uint16 if width == 2 else np.uint32
+        end = array(encoder.kind, [end_id]).tobytes()
         for b in batches:
             for first, texts in slices(b, 1):
                 ids = encoder.encode(texts)
-                frames = [writer.compress(np.append(x, end_id).astype(kind).tobytes()) for x in ids]
-                yield pa.record_batch([b.column(0).slice(first, len(texts)), pa.array([len(x) + 1 for x in ids], pa.int64()), pa.array(frames, pa.binary())], schema=schema)
+                frames = [writer.compress(x + end) for x in ids]
+                yield pa.record_batch([b.column(0).slice(first, len(texts)), pa.array([len(x) // width + 1 for x in ids], pa.int64()), pa.array(frames, pa.binary())], schema=schema)
 
     frames = run.store(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).mapInArrow(compress, spark_schema), "frames", "none")
     seg = {"part": pa.int32(), "dictionary_hash": pa.string(), "first_doc": pa.int64(), "last_doc": pa.int64(), "start": pa.int64(), "n": pa.int64(), "doc_ids": pa.list_(pa.int64()), "offsets": pa.list_(pa.int64()), "starts": pa.list_(pa.int64()), "payload": pa.binary()}

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import re
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -40,6 +41,12 @@ def ranks_of(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+@lru_cache(maxsize=2)
+def encoding_of(path: str) -> tiktoken.Encoding:
+    """One encoding for all tasks of a worker."""
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks_of(path), special_tokens={})
+
+
 class Block:
     """Distinct pre-tokens in order of appearance and every text's sequence of their numbers."""
 
@@ -129,7 +136,7 @@ def encode(documents: DataFrame, ranks_path: str, block_bytes: int = 4 << 20) ->
     schema, spark_schema = arrow({"block": pa.int64(), "kind": pa.int32(), "data": pa.binary(), "sizes": pa.binary(), "numbers": pa.binary()})
 
     def words_to_ids(batches):
-        encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks_of(ranks_path), special_tokens={})
+        encoding = encoding_of(ranks_path)
         known: dict[bytes, bytes] = {}
         for b in batches:
             out = [[] for _ in schema]
@@ -185,6 +192,7 @@ def encode(documents: DataFrame, ranks_path: str, block_bytes: int = 4 << 20) ->
     return both.mapInArrow(together, out_spark)
 
 
+@lru_cache(maxsize=2)
 def token_bytes(ranks_path: str) -> list[bytes]:
     """Bytes of every id; ids that no token has are empty."""
     ranks = ranks_of(ranks_path)
@@ -196,7 +204,7 @@ def token_bytes(ranks_path: str) -> list[bytes]:
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """The columns of ``encoded`` and ``bytes``: every id's bytes, in order, from the table of
-    the vocabulary's tokens (of fixed size, read by each task)."""
+    the vocabulary's tokens (of fixed size, read once by each worker)."""
     ship(encoded.sparkSession)
     names = [c for c in encoded.columns if c != "bytes"]
     df = encoded.select(*[c for c in names if c != "ids"], "ids")

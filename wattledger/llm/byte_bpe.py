@@ -86,8 +86,17 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])
 
 
+def squeezed(data: bytes) -> bytes:
+    """What goes through a shuffle: a zstandard frame."""
+    return zstandard.ZstdCompressor(3).compress(data)
+
+
+def expanded(data: bytes, kind: type = np.uint32) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
 def packed(values: list[bytes]) -> tuple[bytes, bytes]:
-    return b"".join(values), np.fromiter(map(len, values), np.uint32, len(values)).tobytes()
+    return squeezed(b"".join(values)), squeezed(np.fromiter(map(len, values), np.uint32, len(values)).tobytes())
 
 
 def _blocks(docs: DataFrame, block_bytes: int, buckets: int | None) -> DataFrame:
@@ -105,7 +114,7 @@ def _blocks(docs: DataFrame, block_bytes: int, buckets: int | None) -> DataFrame
                 if buckets is None:
                     n = len(texts)
                     ids = np.stack([b.column(i).slice(first, n).to_numpy(zero_copy_only=False) for i in (0, 1)]).astype(np.int64)
-                    data = zstandard.ZstdCompressor(3).compress(b"".join(s.tobytes() for s in sequences))
+                    data = squeezed(b"".join(s.tobytes() for s in sequences))
                     sizes = np.array([len(s) for s in sequences], np.uint32).tobytes()
                     rows = [(block, None, ids.tobytes(), sizes, data)]
                 else:
@@ -113,7 +122,7 @@ def _blocks(docs: DataFrame, block_bytes: int, buckets: int | None) -> DataFrame
                     at = np.fromiter((xxhash.xxh32_intdigest(w) for w in raw), np.int64, len(raw)) % buckets
                     order = np.argsort(at, kind="stable")
                     parts = np.split(order, np.flatnonzero(np.diff(at[order])) + 1) if len(order) else []
-                    rows = [(block, int(at[p[0]]), *packed([raw[i] for i in p]), p.astype(np.uint32).tobytes()) for p in parts]
+                    rows = [(block, int(at[p[0]]), *packed([raw[i] for i in p]), squeezed(np.diff(p, prepend=0).astype(np.uint32).tobytes())) for p in parts]
                 if rows:
                     yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
                 block += 1
@@ -141,7 +150,7 @@ def encode(documents: DataFrame, ranks_path: str, block_bytes: int = 4 << 20) ->
         for b in batches:
             out = [[] for _ in schema]
             for block, _, data, sizes, numbers in zip(*(c.to_pylist() for c in b.columns)):
-                ends = np.cumsum(np.frombuffer(sizes, np.uint32)).tolist()
+                ends, data = np.cumsum(expanded(sizes)).tolist(), expanded(data, np.uint8).tobytes()
                 ids = []
                 for a, e in zip([0, *ends], ends):
                     word = data[a:e]
@@ -161,10 +170,10 @@ def encode(documents: DataFrame, ranks_path: str, block_bytes: int = 4 << 20) ->
     def assemble(head, parts):
         ids, sizes, data = head
         ids = np.frombuffer(ids, np.int64).reshape(2, -1)
-        sequence = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint32).astype(np.int64)
-        number = np.concatenate([np.frombuffer(p[2], np.uint32) for p in parts]) if parts else np.empty(0, np.uint32)
-        length = np.concatenate([np.frombuffer(p[1], np.uint32) for p in parts]).astype(np.int64) // 4 if parts else np.empty(0, np.int64)
-        flat = np.frombuffer(b"".join(p[0] for p in parts), np.uint32)
+        sequence = expanded(data).astype(np.int64)
+        number = np.concatenate([np.cumsum(expanded(p[2]).astype(np.int64)) for p in parts]) if parts else np.empty(0, np.int64)
+        length = np.concatenate([expanded(p[1]) for p in parts]).astype(np.int64) // 4 if parts else np.empty(0, np.int64)
+        flat = np.concatenate([expanded(p[0]) for p in parts]) if parts else np.empty(0, np.uint32)
         starts, lengths = np.empty(len(number), np.int64), np.empty(len(number), np.int64)
         starts[number], lengths[number] = np.cumsum(length) - length, length
         ends = np.cumsum(np.frombuffer(sizes, np.uint32)).astype(np.int64)

@@ -6,6 +6,9 @@ Anchors that occur once are dropped. Suffixes of one anchor string form a bucket
 sorted on its own: by the first bytes, and where those tie, by precomputed ranks of the cover
 sample, the 32-byte strings at every 32nd place counted from the anchor. Counting from the
 anchor gives suffixes that can be equal the same residue, so a cover of one residue suffices.
+
+Anchor strings with many runs are not sorted: their windows are grouped by a 128-bit hash, the
+earliest of each is found by a combined minimum, and the others are joined to it.
 """
 
 from __future__ import annotations
@@ -95,20 +98,27 @@ def _anchor_prints(docs: DataFrame, length: int, block: int, blocks: int) -> Dat
 FIELDS = {"fp": pa.int64(), "doc": pa.int64(), "row": pa.int64(), "first": pa.int64(), "last": pa.int64(), "lead": pa.int32(), "context": pa.binary()}
 
 
-def _contexts(docs: DataFrame, length: int, block: int, blocks: int, bloom: Bloom) -> DataFrame:
-    """Per run of windows around an anchor that may repeat: its place and bytes. Of equal ones
-    in a slice only the first is given out whole, the others as windows found to repeat
-    (context null)."""
-    sent = docs.sparkSession.sparkContext.broadcast(bloom.words)
+def _member(fp: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Which of ``fp`` are in the ascending ``hot``."""
+    at = np.searchsorted(hot, fp)
+    return (at < len(hot)) & (hot[np.minimum(at, len(hot) - 1)] == fp) if len(hot) else np.zeros(len(fp), bool)
+
+
+def _contexts(docs: DataFrame, length: int, block: int, blocks: int, bloom: Bloom, hot: np.ndarray) -> DataFrame:
+    """Per run of windows around an anchor that may repeat and isn't in ``hot``: its place and
+    bytes. Of equal ones in a slice only the first is given out whole, the others as windows
+    found to repeat (context null)."""
+    sent = docs.sparkSession.sparkContext.broadcast((bloom.words, hot))
     schema, spark_schema = arrow(FIELDS)
 
     def run(batches):
-        filt = Bloom(sent.value)
+        words, hot = sent.value
+        filt = Bloom(words)
         for b in batches:
             ids, rows = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for base, texts in slices(b, 2):
                 s = Slice(texts, length, block, blocks)
-                some = np.flatnonzero(filt.has(s.fp))
+                some = np.flatnonzero(filt.has(s.fp) & ~_member(s.fp.view(np.int64), hot))
                 if not len(some):
                     continue
                 doc, first, last, fp = s.doc[some], s.first[some], s.last[some], s.fp[some].view(np.int64)
@@ -131,6 +141,59 @@ def _contexts(docs: DataFrame, length: int, block: int, blocks: int, bloom: Bloo
     return docs.mapInArrow(run, spark_schema)
 
 
+def _hot_windows(docs: DataFrame, length: int, block: int, blocks: int, hot: np.ndarray) -> DataFrame:
+    """Windows around the anchors in ``hot``: of equal ones in a slice the earliest with its hash
+    (h1, h2), the others as ranges of places found to repeat (h1 null)."""
+    sent = docs.sparkSession.sparkContext.broadcast(hot)
+    schema, spark_schema = arrow({"h1": pa.int64(), "h2": pa.int64(), "doc": pa.int64(), "row": pa.int64(), "first": pa.int64(), "last": pa.int64()})
+
+    def run(batches):
+        for b in batches:
+            ids, rows = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            for base, texts in slices(b, 2):
+                s = Slice(texts, length, block, blocks)
+                some = np.flatnonzero(_member(s.fp.view(np.int64), sent.value))
+                if not len(some):
+                    continue
+                whole = s.data.tobytes()
+                order = some[np.lexsort((s.first[some], rows[base + s.doc[some]], ids[base + s.doc[some]]))]
+                sizes = s.last[order] - s.first[order] + 1
+                digests = b"".join(
+                    b"".join([xxhash.xxh3_128_digest(whole[i : i + length]) for i in range(f, f + n)])
+                    for f, n in zip(s.first[order].tolist(), sizes.tolist()))
+                h = np.frombuffer(digests, np.int64).reshape(-1, 2)
+                at, doc = spread(s.first[order], sizes), np.repeat(s.doc[order], sizes)
+                by = np.lexsort((np.arange(len(h)), h[:, 1], h[:, 0]))
+                new = np.append(True, (np.diff(h[by], axis=0) != 0).any(1))
+                earliest = np.zeros(len(h), bool)
+                earliest[by[new]] = True
+                a = np.flatnonzero(earliest)
+                place = at - s.bounds[doc]
+                again = np.flatnonzero(~earliest)
+                cut = np.flatnonzero(np.append(True, (np.diff(at[again]) != 1) | (np.diff(doc[again]) != 0))) if len(again) else again
+                e = again[np.append(cut[1:], len(again)) - 1] if len(again) else again
+                f = again[cut]
+                both = np.concatenate([a, f])
+                known = np.arange(len(both)) >= len(a)
+                yield pa.record_batch([
+                    pa.array(h[both, 0], mask=known), pa.array(h[both, 1], mask=known),
+                    pa.array(ids[base + doc[both]]), pa.array(rows[base + doc[both]]),
+                    pa.array(place[both]), pa.array(place[np.concatenate([a, e])])], schema=schema)
+
+    return docs.mapInArrow(run, spark_schema)
+
+
+def _hot_spans(windows: DataFrame, length: int) -> DataFrame:
+    """(row, a, b) as of ``_spans``, from stored hot windows: the minimum is combined before the
+    shuffle, and adaptive execution splits a hash that many slices have."""
+    place = F.struct("doc", "row", "first")
+    firsts = windows.filter("h1 is not null").groupBy("h1", "h2").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    later = windows.join(firsts.select("h1", "h2", "least"), ["h1", "h2"]).filter(place != F.col("least"))
+    # ``least`` is the earliest of the whole block; ranges found within a slice come as they are.
+    return later.select("row", "first", "last").union(windows.filter("h1 is null").select("row", "first", "last")).select(
+        "row", F.col("first").alias("a"), (F.col("last") + length).alias("b"))
+
+
 def _words(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The eight bytes from each place on as a number that sorts like them."""
     out = np.zeros(len(at), np.uint64)
@@ -235,7 +298,7 @@ def _spans(contexts: DataFrame, length: int, chunk: int = 8 << 20) -> DataFrame:
     return contexts.mapInArrow(run, spark_schema)
 
 
-def without_repeats(documents: DataFrame, run: Run, length: int = 100, block_bytes: int = 16 << 30) -> DataFrame:
+def without_repeats(documents: DataFrame, run: Run, length: int = 100, block_bytes: int = 16 << 30, hot_runs: int = 1000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (bytes) of every row.
 
     A byte goes if a string of ``length`` bytes (92 at least) that covers it also starts earlier:
@@ -244,7 +307,9 @@ def without_repeats(documents: DataFrame, run: Run, length: int = 100, block_byt
 
     Anchor strings are dealt to blocks by hash, ``block_bytes`` of text to a block, and blocks
     are worked on one after the other: that bounds the filter of repeated anchors, which every
-    task holds. The runs of one anchor string meet in one task.
+    task holds. The runs of one anchor string meet in one task if there are ``hot_runs`` at
+    most; the windows of the others are grouped by hash (of those anchors a block has one per
+    ``hot_runs`` runs at most, so all tasks can hold the list).
     """
     if length < 92:
         raise ValueError("length must be 92 at least")
@@ -254,9 +319,15 @@ def without_repeats(documents: DataFrame, run: Run, length: int = 100, block_byt
     shares = int(run.spark.conf.get("spark.sql.shuffle.partitions"))
     spans = []
     for block in range(blocks):
-        prints = _anchor_prints(docs, length, block, blocks).groupBy("fp").agg(F.sum("n").alias("n")).filter("n > 1")
+        prints = run.store(_anchor_prints(docs, length, block, blocks).groupBy("fp").agg(F.sum("n").alias("n")).filter("n > 1"), "prints")
         bloom = Bloom.of(prints, "fp", 26)
-        contexts = _contexts(docs, length, block, blocks, bloom)
+        hot = np.sort(prints.filter(F.col("n") > hot_runs).select("fp").toArrow()["fp"].to_numpy())
+        run.drop(prints)
+        if len(hot):
+            windows = run.store(_hot_windows(docs, length, block, blocks, hot), "windows")
+            spans.append(run.store(_hot_spans(windows, length), "hot_spans"))
+            run.drop(windows)
+        contexts = _contexts(docs, length, block, blocks, bloom, hot)
         dealt = contexts.repartition(shares, F.when(F.col("context").isNull(), F.xxhash64("fp", "row")).otherwise(F.col("fp")))
         spans.append(run.store(_spans(dealt.sortWithinPartitions("fp", "doc", "row", "first"), length), "spans"))
     all_spans = spans[0]

@@ -1,4 +1,4 @@
-"""Anchor strings with many runs."""
+"""Anchor strings with many runs, and window lengths beyond the usual one."""
 
 from __future__ import annotations
 
@@ -37,3 +37,14 @@ def test_hot_anchors_are_split_and_exact(spark, run, monkeypatch, hot_runs):
     monkeypatch.setattr(substring_dedup, "_spans", watched)
     got = substring_dedup.without_repeats(table, run, hot_runs=hot_runs).collect()
     assert as_dict(got) == repeats_of(docs, 100) and most and max(most) <= hot_runs
+
+
+@pytest.mark.parametrize("length", [92, 200])
+def test_windows_of_other_lengths(spark, run, length):
+    """Strings that differ in one byte somewhere in the middle are different."""
+    r = random.Random(37)
+    base = drawn(r, 330, "abcdefgh")
+    docs = [(0, base)] + [(i, base[:i] + "X" + base[i + 1 :]) for i in range(1, 330, 7)]
+    docs += [(1000 + i, drawn(r, r.randrange(90)) + base[r.randrange(60) :]) for i in range(20)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert as_dict(substring_dedup.without_repeats(table, run, length=length).collect()) == repeats_of(docs, length)

@@ -245,12 +245,14 @@ def repeated_windows(fp, doc, row, first, last, lead, contexts: list[bytes], len
 
     for i in range(STEP // 8):
         live_kind = narrow(lambda x, i=i: _words(data, at[x] + 8 * i))
-    # Long ties: two sample ranks cover 64 bytes from the first sample place on, the last 40
-    # bytes are compared as they are.
-    for i in range(2):
+    # Long ties: the ranks of all sample places that surely lie inside, and the bytes behind
+    # them as they are (two ranks and 40 bytes for 100).
+    ranks = (length - STEP + 1) // STEP
+    tail = -(-(length - STEP * ranks) // 8)
+    for i in range(ranks):
         live_kind = narrow(lambda x, i=i: rank[at[x] + distance[x] % STEP + STEP * i].astype(np.uint64))
-    for i in range(5):
-        live_kind = narrow(lambda x, i=i: _words(data, at[x] + length - 40 + 8 * i))
+    for i in range(tail):
+        live_kind = narrow(lambda x, i=i: _words(data, at[x] + length - 8 * (tail - i)))
     live, kind = live_kind
     if not len(live):
         return np.empty((0, 2), np.int64)

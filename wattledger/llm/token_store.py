@@ -49,7 +49,8 @@ class Encoder:
     """Ids of whole texts by the tokenizers library, each distinct piece encoded once.
 
     A byte-level tokenizer never joins what stands on the two sides of a space before a word,
-    so the ids of a text are those of its pieces.
+    so the ids of a text are those of its pieces. Texts that hold the content of an added token
+    (``<|endoftext|>``) are encoded whole: the library looks for these before it splits.
     """
 
     def __init__(self, path: str, most: int = 600_000):
@@ -57,7 +58,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.most = most
         # Serialised ids of pieces, those after a space without it, and of beginnings.
         self.after: dict[str, bytes] = {}
@@ -77,6 +78,15 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, ``width`` bytes each."""
+        whole = [k for k, t in enumerate(texts) if any(map(t.__contains__, self.added))]
+        if not whole:
+            return self._by_pieces(texts)
+        held = set(whole)
+        rest = iter(self._by_pieces([t for k, t in enumerate(texts) if k not in held]))
+        ids = (self.tokenizer.encode(texts[k], add_special_tokens=False).ids for k in whole)
+        return [array(self.kind, next(ids)).tobytes() if k in held else next(rest) for k in range(len(texts))]
+
+    def _by_pieces(self, texts: list[str]) -> list[bytes]:
         lists = [BORDER.split(t) if UNSAFE.search(t) else t.split(" ") for t in texts]
         heads = [parts.pop(0) for parts in lists]
         begin = self._ids(self.begin, set(heads), "")

@@ -3,6 +3,8 @@ matches are chained into covered spans of a template."""
 
 from __future__ import annotations
 
+from bisect import bisect
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,37 +55,59 @@ TEMPLATES = {
 
 
 class Automaton:
-    """Generalised suffix automaton of token sequences; each state knows one place in the
-    concatenated templates where its strings end, so that a match names a template span."""
+    """Generalised suffix automaton of token sequences; each state knows the sequences that hold
+    its strings and all places in them where these end.
+
+    ``limits``: per sequence the shortest match that is given out.
+    """
 
-    def __init__(self, sequences: list[list[int]]):
+    def __init__(self, sequences: list[list[int]], limits: list[int] | None = None):
         self.next: list[dict[int, int]] = [{}]
-        self.link, self.length, self.end = [-1], [0], [(0, 0)]
-        for number, sequence in enumerate(sequences):
+        self.link, self.length = [-1], [0]
+        for sequence in sequences:
             last = 0
+            for c in sequence:
+                last = self._extend(last, c)
+        ends: list[dict[int, list[int]]] = [{} for _ in self.next]
+        for number, sequence in enumerate(sequences):
+            state = 0
             for i, c in enumerate(sequence):
-                last = self._extend(last, c, (number, i + 1))
-
-    def _state(self, length: int, link: int, follow: dict, end: tuple) -> int:
+                state = above = self.next[state][c]
+                while above:
+                    ends[above].setdefault(number, []).append(i + 1)
+                    above = self.link[above]
+        self.limits = limits or [1] * len(sequences)
+        # Per state and sequence the longest of its suffixes there: what the state itself has is
+        # as long as the match, what only a suffix link leads to as long as the strings there.
+        self.own = [list(x.items()) for x in ends]
+        self.rest: list[list[tuple]] = [[] for _ in self.next]
+        for state in sorted(range(1, len(self.next)), key=self.length.__getitem__):
+            up = self.link[state]
+            n, known = self.length[up], ends[state]
+            self.rest[state] = [x for x in self.rest[up] if x[0] not in known] + [
+                (number, n, places) for number, places in self.own[up] if number not in known and n >= self.limits[number]]
+        # No match in a state that is shorter than this is given out.
+        self.least = [min((self.limits[number] for number, _ in x), default=0) for x in self.own]
+
+    def _state(self, length: int, link: int, follow: dict) -> int:
         self.next.append(follow)
         self.link.append(link)
         self.length.append(length)
-        self.end.append(end)
         return len(self.next) - 1
 
     def _split(self, p: int, q: int, c: int) -> int:
-        copy = self._state(self.length[p] + 1, self.link[q], dict(self.next[q]), self.end[q])
+        copy = self._state(self.length[p] + 1, self.link[q], dict(self.next[q]))
         while p >= 0 and self.next[p].get(c) == q:
             self.next[p][c] = copy
             p = self.link[p]
         self.link[q] = copy
         return copy
 
-    def _extend(self, last: int, c: int, end: tuple) -> int:
+    def _extend(self, last: int, c: int) -> int:
         q = self.next[last].get(c)
         if q is not None:  # an earlier template has this string already
             return q if self.length[q] == self.length[last] + 1 else self._split(last, q, c)
-        new, p = self._state(self.length[last] + 1, 0, {}, end), last
+        new, p = self._state(self.length[last] + 1, 0, {}), last
         while p >= 0 and c not in self.next[p]:
             self.next[p][c] = new
             p = self.link[p]
@@ -92,45 +116,76 @@ class Automaton:
             self.link[new] = q if self.length[q] == self.length[p] + 1 else self._split(p, q, c)
         return new
 
-    def statistics(self, tokens: list[int]) -> list[tuple[int, int, tuple]]:
-        """Maximal matches (start, end, template place of the end) in ``tokens``: per place the
-        longest match that ends there is followed, and given out where it can't grow."""
+    def statistics(self, tokens: list[int]) -> list[tuple[int, int, int, list[int]]]:
+        """Maximal matches (start, end, sequence, places of the end in it) in ``tokens``: per
+        sequence the longest match that ends at a place is followed, and given out where it
+        can't grow, whatever other sequences go on with."""
         out, state, n = [], 0, 0
+        held: dict[int, tuple[int, list[int]]] = {}
         for i, c in enumerate(tokens):
-            if c not in self.next[state]:
-                if n:
-                    out.append((i - n, i, self.end[state]))
-                while state and c not in self.next[state]:
-                    state = self.link[state]
-                    n = self.length[state]
+            while state and c not in self.next[state]:
+                state = self.link[state]
+                n = self.length[state]
             if c in self.next[state]:
                 state, n = self.next[state][c], n + 1
             else:
                 state, n = 0, 0
-        if n:
-            out.append((len(tokens) - n, len(tokens), self.end[state]))
+            now = {number: (size, places) for number, size, places in self.rest[state]}
+            if state and n >= self.least[state]:
+                now.update((number, (n, places)) for number, places in self.own[state] if n >= self.limits[number])
+            for number, (size, places) in held.items():
+                if number not in now or now[number][0] != size + 1:
+                    out.append((i - size, i, number, places))
+            held = now
+        out += [(len(tokens) - size, len(tokens), number, places) for number, (size, places) in held.items()]
         return out
 
 
-def chained(matches: list[tuple[int, int, tuple]], sizes: list[int], least: int, gap: int) -> list[tuple[int, int, int, int]]:
+def chained(matches: list[tuple[int, int, int, list[int]]], sizes: list[int], least: int, gap: int) -> list[tuple[int, int, int, int]]:
     """(start, end, template, words covered) of matches that follow one another in text and
     template, at most ``gap`` words apart. A match counts if it has ``least`` words or is a
-    whole template."""
-    open_: dict[int, list] = {}
-    done = []
-    for start, end, (number, place) in matches:
-        n = end - start
-        if n < min(least, sizes[number]):
-            continue
-        chain = open_.get(number)
-        if chain and start - chain[1] <= gap and place - n >= chain[3] - gap and place > chain[3]:
-            chain[4] += n - max(0, chain[1] - start)
-            chain[1], chain[3] = end, place
-        else:
-            if chain:
-                done.append(chain)
-            open_[number] = [start, end, number, place, n]
-    return [(c[0], c[1], c[2], c[4]) for c in [*done, *open_.values()]]
+    whole template.
+
+    A match that stands at several places of its template can go on from each of them: of the
+    chains of a template the ones that cover most are given out, none over another's words.
+    """
+    by_template: dict[int, list] = {}
+    for start, end, number, places in matches:
+        if end - start >= min(least, sizes[number]):
+            by_template.setdefault(number, []).append((start, end, places))
+    out = []
+    for number, found in by_template.items():
+        open_: list[tuple] = []  # (start, end, place, covered) that can still go on
+        closed: list[tuple] = []
+
+        def close(chains):
+            taken: list[tuple] = []  # ascending, without overlaps
+            for c in sorted(chains, key=lambda c: (-c[3], c[1] - c[0], c[0])):
+                at = bisect(taken, c)
+                if (not at or taken[at - 1][1] <= c[0]) and (at == len(taken) or c[1] <= taken[at][0]):
+                    taken.insert(at, c)
+            out.extend((c[0], c[1], number, c[3]) for c in taken)
+
+        for start, end, places in found:
+            n = end - start
+            near = [c for c in open_ if start - c[1] <= gap]
+            if open_ and not near:
+                close(closed)
+                closed = []
+            fresh = []
+            for place in places:
+                best = (start, end, place, n)
+                for s, e, at, covered in near:
+                    if place - n >= at - gap and place > at and end > e:
+                        # Words of the text or of the template that both have count once.
+                        more = n - max(0, e - start, at - (place - n))
+                        if (covered + more, s) > (best[3], best[0]):
+                            best = (s, end, place, covered + more)
+                fresh.append(best)
+            open_ = near + fresh
+            closed += fresh
+        close(closed)
+    return out
 
 
 def scan(documents: DataFrame, phrases: dict[str, str] | None = None, templates: dict[str, list[str]] | None = None, least: int = 5, gap: int = 8, cover: float = 0.8) -> DataFrame:
@@ -155,7 +210,7 @@ def scan(documents: DataFrame, phrases: dict[str, str] | None = None, templates:
         keys = [(number(p), label) for p, label in phrases.items()]
         named = [(label, number(t)) for label, ts in templates.items() for t in ts]
         sizes = [len(s) for _, s in named]
-        automaton = Automaton([s for _, s in named])
+        automaton = Automaton([s for _, s in named], [min(least, n) for n in sizes])
         shortest = min(least, *sizes)
         for b in batches:
             at = b.num_columns - 1
@@ -177,7 +232,7 @@ def scan(documents: DataFrame, phrases: dict[str, str] | None = None, templates:
                                     base.append(s + i)
                                     found.add(label)
                         if e - s >= shortest:
-                            matches += [(s + i, s + j, place) for i, j, place in automaton.statistics(tokens)]
+                            matches += [(s + i, s + j, which, places) for i, j, which, places in automaton.statistics(tokens)]
                     for start, end, which, covered in chained(matches, sizes, least, gap):
                         share = min(1.0, covered / sizes[which])
                         if share >= cover:

@@ -42,7 +42,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by its kind and renews n_chars; every document stays."""
-    clean = pii.redacted(docs, pii.learn(docs, Run(spark, "pii")))
+    run = Run(spark, "pii")
+    clean = pii.redacted(docs, pii.learned(docs, run), run)
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 

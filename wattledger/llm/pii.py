@@ -123,12 +123,13 @@ def found_mentions(documents: DataFrame) -> DataFrame:
     return documents.select(F.coalesce("text", F.lit("")).alias("t")).mapInArrow(run, spark_schema)
 
 
-def learn(documents: DataFrame, run: Run, rounds: int = 3, confidence: float = 0.8, support: int = 5, most: int = 10_000) -> list[tuple[str, str, str]]:
-    """High-confidence patterns (kind, cue, shape), found from all documents.
+def learned(documents: DataFrame, run: Run, rounds: int = 3, confidence: float = 0.8, support: int = 5) -> DataFrame:
+    """High-confidence patterns (cue, shape, kind, confidence), found from all documents: a stored
+    table with the best kind of each (cue, shape).
 
     A pattern is a kind with the word before it and the instance's shape, or with ``*`` for the
-    shape. It needs ``support`` different seeds as instances. Patterns go to the driver, and only
-    the ``most`` best of them: a bound on the model's size, not on documents or instances.
+    shape. It needs ``support`` different seeds as instances. Patterns that take in no stranger
+    can find nothing in these documents and are left out; nothing else bounds their number.
     """
     edges = run.store(
         found_mentions(documents).groupBy("kind", "instance", "cue", "shape").agg(F.sum("n").alias("n")), "mentions")
@@ -136,9 +137,10 @@ def learn(documents: DataFrame, run: Run, rounds: int = 3, confidence: float = 0
         F.struct("cue", "shape"), F.struct("cue", F.lit("*").alias("shape")))).alias("p")).select("kind", "instance", "p.*").distinct()
     seeded = forms.filter("kind is not null").groupBy("kind", "cue", "shape").agg(F.count(F.lit(1)).alias("seeds"))
     seeded = seeded.filter(F.col("seeds") >= support)
+    strange = forms.filter("kind is null").select("cue", "shape").distinct()
     # Patterns seeded by several kinds, and the strangers that they would take in.
     graph = run.store(
-        seeded.select("kind", "cue", "shape", "seeds").join(forms.withColumnRenamed("kind", "own"), ["cue", "shape"]), "graph")
+        seeded.join(strange, ["cue", "shape"], "left_semi").select("kind", "cue", "shape", "seeds").join(forms.withColumnRenamed("kind", "own"), ["cue", "shape"]), "graph")
     trust = F.when(F.col("own") == F.col("kind"), 1.0).when(F.col("own").isNotNull(), 0.0)
     scored = graph.select("kind", "cue", "shape", "instance", "own", F.coalesce(trust, F.lit(0.0)).alias("trust"))
     patterns = scored.groupBy("kind", "cue", "shape").agg(F.avg("trust").alias("confidence"))
@@ -148,14 +150,52 @@ def learn(documents: DataFrame, run: Run, rounds: int = 3, confidence: float = 0
         again = graph.join(believed, ["kind", "instance"], "left").select(
             "kind", "cue", "shape", F.coalesce(trust, "t", F.lit(0.0)).alias("trust"))
         patterns = again.groupBy("kind", "cue", "shape").agg(F.avg("trust").alias("confidence"))
-    best = patterns.filter(F.col("confidence") >= confidence).orderBy(F.desc("confidence"), "kind", "cue", "shape").limit(most)
+    best = patterns.filter(F.col("confidence") >= confidence).groupBy("cue", "shape").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "kind")).alias("m"))
+    return run.store(best.select("cue", "shape", "m.kind", (-F.col("m.c")).alias("confidence")), "learned")
+
+
+def learn(documents: DataFrame, run: Run, rounds: int = 3, confidence: float = 0.8, support: int = 5) -> list[tuple[str, str, str]]:
+    """The patterns of ``learned`` as a list (kind, cue, shape), the best first: all of them go to
+    the driver, which suits small tables."""
+    best = learned(documents, run, rounds, confidence, support).orderBy(F.desc("confidence"), "kind", "cue", "shape")
     return [(r.kind, r.cue, r.shape) for r in best.collect()]
 
 
-def extract(documents: DataFrame, patterns: list[tuple[str, str, str]]) -> DataFrame:
+def _found(rows: DataFrame, patterns: DataFrame, run: Run) -> DataFrame:
+    """(__key, found) of the texts (__key, __text) in which patterns find strangers, stored: every
+    stranger of a distinct text is joined to the patterns, with its shape, then with ``*``."""
+    schema, spark_schema = arrow({"__key": pa.binary(), "cue": pa.string(), "shape": pa.string(), "start": pa.int64(), "end": pa.int64()})
+
+    def run_(batches):
+        for b in batches:
+            out = [(i, c[:40], s, a, e) for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for k, _, c, s, a, e in mentions(text) if not k]
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(list(zip(*out)) or [[]] * 5, schema)], schema=schema)
+
+    exact = patterns.filter("shape != '*'").select("cue", "shape", F.col("kind").alias("k1"))
+    star = patterns.filter("shape = '*'").select("cue", F.col("kind").alias("k2"))
+    named = rows.mapInArrow(run_, spark_schema).distinct().join(exact, ["cue", "shape"], "left").join(star, "cue", "left")
+    named = named.select("__key", F.coalesce("k1", "k2").alias("kind"), "start", "end").filter("kind is not null")
+    spans = named.groupBy("__key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("f"))
+    return run.store(spans.select("__key", F.transform("f", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("found")), "found")
+
+
+def extract(documents: DataFrame, patterns: DataFrame | list[tuple[str, str, str]], run: Run | None = None) -> DataFrame:
     """The columns of ``documents`` and ``base`` and ``found``: lists of (kind, start, end) in
-    code points, ends exclusive, by the fixed rules and by the patterns; both empty for null."""
+    code points, ends exclusive, by the fixed rules and by the patterns; both empty for null.
+
+    A table of patterns is joined to the distinct texts, with what they find stored below ``run``;
+    its number of rows is not bounded. A list goes to every task.
+    """
     ship(documents.sparkSession)
+    if isinstance(patterns, DataFrame):
+        if patterns.isEmpty():
+            return extract(documents, [])
+        rest = [c for c in documents.columns if c.lower() not in ("base", "found")]
+        rows = documents.select(*rest, F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("__key"))
+        hits = _found(rows.select("__key", F.coalesce("text", F.lit("")).alias("__text")), patterns, run or Run(documents.sparkSession, "pii"))
+        based = extract(rows, []).drop("found").join(hits, "__key", "left")
+        none = F.array().cast(hits.schema["found"].dataType)
+        return based.select(*rest, "base", F.coalesce("found", none).alias("found"))
     rest = [c for c in documents.columns if c.lower() not in ("base", "found")]
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
     spark_span = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
@@ -169,7 +209,7 @@ def extract(documents: DataFrame, patterns: list[tuple[str, str, str]]) -> DataF
             base, found = [], []
             for text in b.column(b.num_columns - 1).to_pylist():
                 if known:
-                    all_ = mentions(text)
+                    all_ = [(k, i, c[:40], *x) for k, i, c, *x in mentions(text)]
                     base.append(named((k, a, e) for k, _, _, _, a, e in all_ if k))
                     more = ((known.get((c, s)) or known.get((c, "*")), a, e) for k, _, c, s, a, e in all_ if not k)
                     found.append(named(x for x in more if x[0]))
@@ -188,10 +228,10 @@ def joined(*lists: str):
     return F.array_join(F.transform(order, lambda s: F.concat_ws(":", s["kind"], s["a"], s["b"])), ",")
 
 
-def redacted(documents: DataFrame, patterns: list[tuple[str, str, str]]) -> DataFrame:
+def redacted(documents: DataFrame, patterns: DataFrame | list[tuple[str, str, str]], run: Run | None = None) -> DataFrame:
     """``documents`` with every span replaced by its kind in angle brackets; overlapping spans
     become one. Null stays null."""
-    df = extract(documents, patterns)
+    df = extract(documents, patterns, run)
     position = df.columns.index("text")
     plain = documents.schema
 

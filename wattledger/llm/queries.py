@@ -36,8 +36,8 @@ def op3_noisy_or_toxicity(spark, sf_dir):
 
 
 def op4_bootstrapped_pii(spark, sf_dir):
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    spans = pii.extract(docs, pii.learn(docs, Run(spark, "op4"))).drop("text")
+    docs, run = _table(spark, sf_dir, "documents").select("doc_id", "text"), Run(spark, "op4")
+    spans = pii.extract(docs, pii.learned(docs, run), run).drop("text")
     counts = [F.size(F.expr(f"filter(base, s -> s.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return spans.select("doc_id", *counts, F.sha2(pii.joined("base").cast("binary"), 256).alias("base_sha256"), pii.joined("base", "found").alias("spans"))
 

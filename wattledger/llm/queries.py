@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm import byte_bpe, decontaminate, licenses, near_dedup, pii, quality, substring_dedup, token_store, toxicity, vector_dedup
+from wattledger.llm import byte_bpe, decontaminate, licenses, merkle, near_dedup, pii, quality, substring_dedup, token_store, toxicity, vector_dedup
 from wattledger.llm.common import Run
 
 
@@ -75,5 +75,15 @@ def op10_license_automaton(spark, sf_dir):
     return licenses.scan(docs).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_store, op3_noisy_or_toxicity, op4_bootstrapped_pii, op5_byte_level_bpe, op6_rotated_codes, op7_circulant_minhash, op8_winnowing, op9_blockwise_suffixes, op10_license_automaton)}
+def op12_merkle_manifest(spark, sf_dir):
+    docs, run = _table(spark, sf_dir, "documents"), Run(spark, "op12")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    rows = merkle.build(docs, run, tampered=F.when(chosen, merkle.leaf(text=lower))).proofs()
+    folded = merkle.folded(F.coalesce("tampered", "digest"), F.col("path"))
+    found = rows.select("doc_id", F.col("digest").alias("leaf"), "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_store, op3_noisy_or_toxicity, op4_bootstrapped_pii, op5_byte_level_bpe, op6_rotated_codes, op7_circulant_minhash, op8_winnowing, op9_blockwise_suffixes, op10_license_automaton, op12_merkle_manifest)}
 ORACLES: dict[str, str] = {}

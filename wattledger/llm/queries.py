@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm import byte_bpe, decontaminate, licenses, merkle, near_dedup, pii, quality, substring_dedup, token_store, toxicity, vector_dedup
+from wattledger.llm import byte_bpe, decontaminate, fingerprints, licenses, merkle, near_dedup, pii, quality, substring_dedup, token_store, toxicity, vector_dedup
 from wattledger.llm.common import Run
 
 
@@ -75,6 +75,12 @@ def op10_license_automaton(spark, sf_dir):
     return licenses.scan(docs).drop("spans")
 
 
+def op11_improbable_features(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = fingerprints.edits(docs, fingerprints.ranking(fingerprints.class_counts(docs)))
+    return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op12_merkle_manifest(spark, sf_dir):
     docs, run = _table(spark, sf_dir, "documents"), Run(spark, "op12")
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -85,5 +91,5 @@ def op12_merkle_manifest(spark, sf_dir):
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_store, op3_noisy_or_toxicity, op4_bootstrapped_pii, op5_byte_level_bpe, op6_rotated_codes, op7_circulant_minhash, op8_winnowing, op9_blockwise_suffixes, op10_license_automaton, op12_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_store, op3_noisy_or_toxicity, op4_bootstrapped_pii, op5_byte_level_bpe, op6_rotated_codes, op7_circulant_minhash, op8_winnowing, op9_blockwise_suffixes, op10_license_automaton, op11_improbable_features, op12_merkle_manifest)}
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm import byte_bpe, decontaminate, fingerprints, licenses, merkle, near_dedup, pii, quality, substring_dedup, token_store, toxicity, vector_dedup
+from wattledger.llm import alignment, byte_bpe, decontaminate, fingerprints, licenses, merkle, near_dedup, pii, quality, substring_dedup, token_store, toxicity, vector_dedup
 from wattledger.llm.common import Run
 
 
@@ -91,5 +91,10 @@ def op12_merkle_manifest(spark, sf_dir):
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_store, op3_noisy_or_toxicity, op4_bootstrapped_pii, op5_byte_level_bpe, op6_rotated_codes, op7_circulant_minhash, op8_winnowing, op9_blockwise_suffixes, op10_license_automaton, op11_improbable_features, op12_merkle_manifest)}
+def op13_lockstep_alignment(spark, sf_dir):
+    docs, paths = _table(spark, sf_dir, "documents").select("doc_id", "text"), [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(docs, Run(spark, "op13"), *paths)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_store, op3_noisy_or_toxicity, op4_bootstrapped_pii, op5_byte_level_bpe, op6_rotated_codes, op7_circulant_minhash, op8_winnowing, op9_blockwise_suffixes, op10_license_automaton, op11_improbable_features, op12_merkle_manifest, op13_lockstep_alignment)}
 ORACLES: dict[str, str] = {}

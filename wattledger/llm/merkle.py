@@ -194,6 +194,5 @@ def build(documents: DataFrame, run: Run, **carried: Column) -> Manifest:
         last = runs.filter(F.col("n") <= FAN).select(F.col("src").alias("name"), "digest")
         tops = last if tops is None else tops.union(last)
     order = numbered(tops, ["name"], run, "sources")
-    total = order.agg(F.count(F.lit(1)).alias("n"))
-    nodes = order.select(F.lit("").alias("src"), "at", "name", "digest").join(F.broadcast(total)).select("src", "at", "n", "digest", "name")
+    nodes = order.select(F.lit("").alias("src"), "at", F.lit(order.count()).cast("long").alias("n"), "digest", "name")
     return Manifest(levels, reduced(nodes, run), words)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wattledger import schemas
 from wattledger.operators import quality
@@ -14,21 +14,46 @@ from wattledger.plans import features as feats
 from wattledger.plans import model as ml
 from wattledger.plans import views
 from wattledger.session import materialize
-from wattledger.sources import files, sinks
+from wattledger.sources import commits, payloads, sinks
 from wattledger.streaming import incremental
 
 RAW = ["raw_eia_data", "raw_weather_data", "raw_economic_data", "raw_price_data"]
 
 
-def ingest(spark: SparkSession, landing: str, store: str) -> None:
-    """Append every newly landed file of the four feeds to its raw table."""
+def ingest(
+    spark: SparkSession, landing: str, store: str, clean: str | None = None, archive: str | None = None
+) -> None:
+    """Append every newly landed file of the four feeds, CSV and JSON, to its raw table; what
+    does not fit goes to ``_rejected/<table>``. ``clean`` as in ``incremental.csv_stream``."""
     for table in RAW:
+        common = {"clean": clean, "archive": archive, "rejected": f"{store}/_rejected/{table}"}
+        source, target = f"{landing}/{table}", f"{store}/{table}"
         incremental.load_new_files(
-            spark, f"{landing}/{table}", table, f"{store}/{table}", f"{store}/_loads/{table}"
-        )
+            spark, source, table, target, f"{store}/_loads/{table}", **common)
+        if table in payloads.FEEDS:
+            incremental.load_new_responses(
+                spark, source, table, target, f"{store}/_loads/{table}-json", **common)
+
+
+def load_counts(spark: SparkSession, store: str) -> DataFrame:
+    """(table_name, batch, rows, rejected) of every published load."""
+    parts = [
+        commits.batches(spark, f"{store}/{t}").select(F.lit(t).alias("table_name"), "batch", "rows", "rejected")
+        for t in RAW
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+def rejected(spark: SparkSession, store: str, name: str) -> DataFrame:
+    """(source_file, error, record) of what the loads of a raw table left out."""
+    schema = StructType.fromDDL(incremental.REJECTED)
+    return commits.read(spark, f"{store}/_rejected/{name}", schema)
 
 
 def table(spark: SparkSession, store: str, name: str) -> DataFrame:
+    """The declared columns of a stored table, of every writer's files."""
+    if name in RAW:
+        return commits.read(spark, f"{store}/{name}", schemas.TABLES[name])
     stored = spark.read.schema(schemas.TABLES[name]).parquet(f"{store}/{name}")
     return stored.select(*schemas.TABLES[name].names)
 
@@ -61,24 +86,6 @@ def save_checks(features: DataFrame, predictions: DataFrame, as_of, store: str)
     sinks.land_raw(scores, f"{store}/model_performance", as_of)
 
 
-def save_rejected(spark: SparkSession, landing: str, store: str, run_date) -> dict[str, int]:
-    """Stores the records that the loads skip, and counts them, by table; run dates without
-    files are left out."""
-    counts = {}
-    for name in RAW:
-        try:
-            bad = files.rejected(spark, f"{landing}/{name}", name, run_date)
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            continue
-        sinks.land_raw(bad, f"{store}/_rejected/{name}", run_date)
-        counts[name] = spark.read.parquet(f"{store}/_rejected/{name}").filter(
-            F.col("run_date") == str(run_date)
-        ).count()
-    return counts
-
-
 def train_and_forecast(
     spark: SparkSession, features: DataFrame, as_of, store: str, model_type="linear_regression"
 ) -> tuple[ml.LiquidityModel, DataFrame]:

@@ -6,10 +6,12 @@ already holds the parsed response, e.g. from a text column and ``from_json``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wattledger import schemas
 from wattledger import settings as cfg
@@ -205,13 +207,18 @@ def read_historical_weather(spark: SparkSession, path) -> DataFrame:
     return parse_historical_weather(_read(spark, path, schemas.HISTORICAL_PAYLOAD))
 
 
-def validate_payload(payloads: DataFrame, *keys: str) -> DataFrame:
-    """``keys``… plus (is_valid, error), one row per response."""
-    error = (
+def generation_error() -> Column:
+    """Why a generation response can't be used; null for a good one."""
+    return (
         F.when(F.col("response").isNull(), "Missing 'response' key in API data")
         .when(F.col("response.data").isNull(), "Missing 'data' key in response")
         .when(F.size("response.data") == 0, "No data found in API response")
     )
+
+
+def validate_payload(payloads: DataFrame, *keys: str) -> DataFrame:
+    """``keys``… plus (is_valid, error), one row per response."""
+    error = generation_error()
     return payloads.select(*keys, error.isNull().alias("is_valid"), error.alias("error"))
 
 
@@ -236,3 +243,75 @@ def feed_filter(
     order = [F.col("date").desc(), *[c for c in ("fuel_type", "generation_mwh") if c in df.columns]]
     ordered = kept.orderBy(*order)
     return ordered if limit is None else ordered.limit(limit)
+
+
+MALFORMED = "_malformed"
+
+
+def response_options(reader):
+    """Reader (or stream reader) of JSON files with one response each."""
+    return reader.options(multiLine="true", mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED)
+
+
+def _missing(*path: str) -> Column:
+    """First key on the way to the records that a response lacks."""
+    error = None
+    for i, key in enumerate(path):
+        lacks = F.col(".".join(path[: i + 1])).isNull()
+        said = f"Missing '{key}' key in response"
+        error = F.when(lacks, said) if error is None else error.when(lacks, said)
+    return error
+
+
+@dataclass(frozen=True)
+class Feed:
+    """A feed that lands as JSON: its payload, where its records are, what makes one unusable,
+    and the parser of valid responses."""
+
+    payload: StructType
+    records: str
+    unusable: Callable[[str], Column]
+    parse: Callable[[DataFrame], DataFrame]
+    invalid: Callable[[], Column]
+
+    @property
+    def landed(self) -> StructType:
+        return StructType([*self.payload.fields, StructField(MALFORMED, StringType())])
+
+    def error(self) -> Column:
+        """Why a response can't be used; null for a good one."""
+        return F.when(F.col(MALFORMED).isNotNull(), "Malformed JSON").otherwise(self.invalid())
+
+    def rejected(self, payloads: DataFrame) -> DataFrame:
+        """(source_file, error, record as JSON) of the records that give no row."""
+        records = payloads.select("source_file", F.explode(self.records).alias("r"))
+        bad = records.filter(self.unusable("r"))
+        return bad.select("source_file", F.lit("Unusable record").alias("error"), F.to_json("r").alias("record"))
+
+
+def _series_rows(payloads: DataFrame) -> DataFrame:
+    series = series_of_file(F.col("source_file"))
+    return parse_series(payloads, scalars.map_lookup(series, cfg.SERIES_INDICATORS, series))
+
+
+def _no_reading(r: str) -> Column:
+    value = scalars.clean_number(F.col(f"{r}.value"))
+    return scalars.text_date(F.col(f"{r}.period")).isNull() | F.col(f"{r}.fueltype").isNull() | value.isNull()
+
+
+#: Feeds by raw table. A series' missing values (".") are no records and not rejected.
+FEEDS: dict[str, Feed] = {
+    "raw_eia_data": Feed(
+        schemas.GENERATION_PAYLOAD, "response.data", _no_reading, parse_generation, generation_error,
+    ),
+    "raw_weather_data": Feed(
+        schemas.FORECAST_PAYLOAD, "properties.periods",
+        lambda r: scalars.text_date(F.col(f"{r}.startTime")).isNull(),
+        parse_forecast, lambda: _missing("properties", "periods"),
+    ),
+    "raw_economic_data": Feed(
+        schemas.SERIES_PAYLOAD, "observations",
+        lambda r: (F.col(f"{r}.value") != ".") & scalars.text_date(F.col(f"{r}.date")).isNull(),
+        _series_rows, lambda: _missing("observations"),
+    ),
+}

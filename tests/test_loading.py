@@ -71,8 +71,8 @@ def test_a_crash_shows_all_of_a_batch_or_nothing(spark, places, monkeypatch, ste
         if step == "move":  # the first file moved, the others not
             some = dict(args[2], moves=args[2]["moves"][:1])
             for move in some["moves"]:
-                path, fs = commits._path(spark, move["source"])
-                place, _ = commits._path(spark, move["place"])
+                path, fs = commits.located(spark, move["source"])
+                place, _ = commits.located(spark, move["place"])
                 fs.mkdirs(place.getParent())
                 fs.rename(path, place)
         raise Crash

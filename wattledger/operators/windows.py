@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from wattledger.functions.scalars import share_pct
+from wattledger.session import materialize
 
 
 def share_of_day(df: DataFrame, group: str, value: str, total: str, share: str) -> DataFrame:
@@ -110,3 +111,71 @@ def forward_fill(df, columns, order="date", descending=False, by=()) -> DataFram
 
 def backward_fill(df, columns, order="date", descending=False, by=()) -> DataFrame:
     return fill_in_order(df, columns, order, descending, False, True, by)
+
+
+def scan_fill(
+    df: DataFrame,
+    columns: Sequence[str],
+    order: Sequence[str],
+    by: Sequence[str] = (),
+    forward: bool = True,
+    backward: bool = False,
+) -> DataFrame:
+    """The same fills for rows of any feed, many to a date: a prefix scan over ranges of rows.
+
+    Rows are ordered by ``order`` (nulls first), those that tie by a hash of the whole row, so
+    that only equal rows are interchangeable. They are dealt to ranges of that order and stored;
+    a range is filled on its own, and what it takes over from other ranges comes from a table of
+    one row per range and key. A range holds its share of the rows whatever the dates or keys.
+    With both directions, what the forward fill leaves open is filled backward.
+    """
+    columns, by = list(columns), list(by)
+    line = [*by, *order, "_tie"]
+    tied = df.withColumn("_tie", F.xxhash64(*df.columns))
+    ranged = tied.repartitionByRange(*line).sortWithinPartitions(*line)
+    stored = materialize(ranged.withColumn("_id", F.monotonically_increasing_id()), "fill")
+    rows = stored.withColumn("_range", F.shiftright("_id", 33))
+    flows = [older for older, on in ((True, forward), (False, backward)) if on]
+
+    def name(older: bool, c: str) -> str:
+        return f"_{'old' if older else 'new'}_{c}"
+
+    def outward(key: str, older: bool) -> WindowSpec:
+        return Window.orderBy(F.col(key) if older else F.col(key).desc())
+
+    known = {c: F.when(F.col(c).isNotNull(), F.col("_id")) for c in columns}
+    ends = rows.groupBy(*by, "_range").agg(
+        *[(F.max_by if older else F.min_by)(F.col(c), known[c]).alias(name(older, c)) for older in flows for c in columns]
+    )
+    carried = ends.select(
+        *[F.col(c).alias(f"_by_{c}") for c in by],
+        F.col("_range").alias("_at"),
+        *[
+            F.last(name(older, c), ignorenulls=True)
+            .over(
+                outward("_range", older)
+                .partitionBy(*(by or [F.lit(0)]))
+                .rowsBetween(Window.unboundedPreceding, -1)
+            )
+            .alias(name(older, c))
+            for older in flows
+            for c in columns
+        ],
+    )
+    same = F.col("_range") == F.col("_at")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+
+    def filled(c: str) -> Column:
+        choices = []
+        for older in flows:
+            inside = (
+                outward("_id", older)
+                .partitionBy(*by, "_range")
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            )
+            choices += [F.last(c, ignorenulls=True).over(inside), F.col(name(older, c))]
+        return F.coalesce(*choices).alias(c)
+
+    joined = rows.join(carried, same, "left")
+    return joined.select(*[filled(c) if c in columns else F.col(c) for c in df.columns])

@@ -11,9 +11,9 @@ from pyspark.sql.types import StructType
 from wattledger import schemas
 from wattledger.operators import quality
 from wattledger.plans import features as feats
+from wattledger.plans import incremental_features
 from wattledger.plans import model as ml
 from wattledger.plans import views
-from wattledger.session import materialize
 from wattledger.sources import commits, payloads, sinks
 from wattledger.streaming import incremental
 
@@ -59,18 +59,21 @@ def table(spark: SparkSession, store: str, name: str) -> DataFrame:
 
 
 def build_features(spark: SparkSession, store: str, **weights) -> DataFrame:
-    """Replace the feature table and return it as stored.
+    """Bring the feature table up to date from the new raw files and return it as stored.
 
-    Written once and read back: the views and the training read a small date-ordered table
-    instead of aggregating the raw feeds again.
+    The views and the training read this small table by month instead of aggregating the raw
+    feeds again.
     """
-    raw = [table(spark, store, t) for t in RAW]
-    shaped = schemas.select_typed(feats.ml_features(*raw, **weights), "ml_features")
-    # Stored before it is ranged: ranging reads its input twice.
-    sinks.write_clustered(materialize(shaped, "ml_features"), f"{store}/ml_features")
+    incremental_features.refresh(spark, store, **weights)
     return table(spark, store, "ml_features")
 
 
+def rebuild_features(spark: SparkSession, store: str, **weights) -> DataFrame:
+    """The feature rows of all raw rows, without the stored states."""
+    raw = [table(spark, store, t) for t in RAW]
+    return schemas.select_typed(feats.ml_features(*raw, **weights), "ml_features")
+
+
 def save_checks(features: DataFrame, predictions: DataFrame, as_of, store: str) -> None:
     """The run's quality rows and model scores, kept by run date: a repeated run replaces its
     own."""
@@ -121,9 +124,12 @@ def publish(
 
 
 def run(
-    spark: SparkSession, landing: str, store: str, as_of, model_type="linear_regression", **weights
+    spark: SparkSession, landing: str, store: str, as_of, model_type="linear_regression",
+    clean: str | None = None, archive: str | None = None, **weights
 ):
-    ingest(spark, landing, store)
+    """One day's run. ``clean`` and ``archive`` say what becomes of consumed files, as in
+    ``incremental.csv_stream``; ``weights`` are those of the target."""
+    ingest(spark, landing, store, clean, archive)
     features = build_features(spark, store, **weights)
     model, predictions = train_and_forecast(spark, features, as_of, store, model_type)
     save_checks(features, predictions, as_of, store)

@@ -64,12 +64,30 @@ def ml_features(
     gen = aggregates.daily_generation(generation.filter(F.col("date").isNotNull()))
     if positive_only:
         gen = gen.filter(F.col("total_generation_mwh") > 0)
-    joined = joins.left_chain(
+    return assembled(
         gen,
         aggregates.daily_weather(weather).select("date", "avg_temperature_f"),
         aggregates.indicators_first(economic),
         aggregates.daily_price(price),
+        noise,
+        generation_weight,
+        oil_weight,
+        default_oil,
     )
+
+
+def assembled(
+    generation: DataFrame,
+    weather: DataFrame,
+    indicators: DataFrame,
+    price: DataFrame,
+    noise: Column | None = None,
+    generation_weight: float = cfg.GENERATION_WEIGHT,
+    oil_weight: float = cfg.OIL_WEIGHT,
+    default_oil: float = cfg.DEFAULT_OIL_PRICE,
+) -> DataFrame:
+    """Feature rows of daily tables (one row per date each), for every date with generation."""
+    joined = joins.left_chain(generation, weather, indicators, price)
     return _with_target(joined, noise, generation_weight, oil_weight, default_oil)
 
 

@@ -25,17 +25,23 @@ MODEL_TYPES = ["linear_regression", "ridge", "random_forest"]
 def impute(
     df: DataFrame,
     columns: Sequence[str] = tuple(schemas.FEATURES),
-    order: str = "date",
+    order: str | Sequence[str] = "date",
     descending: bool = True,
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Forward fill, backward fill, then median; a complete frame passes unchanged.
 
+    One ``order`` column names the unique date of a daily table; a list of them orders the rows
+    of a feed, oldest first (``descending`` does not count then).
+
     The export is newest first, hence ``descending``: forward filling takes the value of
     the next later day. Without ``by`` the median can only meet columns that are null
     throughout, where it is null as well, so it is planned only for per-key fills.
     """
-    filled = windows.fill_in_order(df, columns, order, descending, True, True, by)
+    if isinstance(order, str):
+        filled = windows.fill_in_order(df, columns, order, descending, True, True, by)
+    else:
+        filled = windows.scan_fill(df, columns, order, by, True, True)
     if not by:
         return filled
     medians = quantiles.exact_quantiles(filled, columns, (0.5,))

@@ -18,19 +18,20 @@ from pyspark.sql.types import StructType
 
 STAGING, RECORDS = "_staging", "_commits"
 RECORD_SCHEMA = (
-    "batch string, rows long, rejected long, covers array<string>, "
+    "batch string, rows long, rejected long, covers array<string>, settings string, "
     "moves array<struct<source: string, place: string>>"
 )
 
 
-def _path(spark: SparkSession, path: str):
+def located(spark: SparkSession, path: str):
+    """``path`` and its file system, as Hadoop has them."""
     found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def names(spark: SparkSession, folder: str) -> list[str]:
     """Names of the files and folders in ``folder``; none where it does not exist."""
-    path, fs = _path(spark, folder)
+    path, fs = located(spark, folder)
     return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
 
 
@@ -45,7 +46,7 @@ def _record_path(table: str, batch: str) -> str:
 
 def record_of(spark: SparkSession, table: str, batch: str) -> dict | None:
     """The record of ``batch``, or None where it was never decided."""
-    path, fs = _path(spark, _record_path(table, batch))
+    path, fs = located(spark, _record_path(table, batch))
     if not fs.exists(path):
         return None
     stream = fs.open(path)
@@ -66,12 +67,12 @@ def stage(df: DataFrame, table: str, batch: str) -> list[dict]:
 
 
 def decide(
-    spark: SparkSession, table: str, batch: str, moves: list[dict], covers=(), **counts: int
+    spark: SparkSession, table: str, batch: str, moves: list[dict], covers=(), **facts
 ) -> dict:
     """Write the record of ``batch``: from here on it belongs to the table."""
-    record = {"batch": batch, **counts, "covers": list(covers), "moves": moves}
-    path, fs = _path(spark, _record_path(table, batch))
-    draft, _ = _path(spark, f"{table.rstrip('/')}/{RECORDS}/.{batch}-{uuid.uuid4().hex[:8]}")
+    record = {"batch": batch, **facts, "covers": list(covers), "moves": moves}
+    path, fs = located(spark, _record_path(table, batch))
+    draft, _ = located(spark, f"{table.rstrip('/')}/{RECORDS}/.{batch}-{uuid.uuid4().hex[:8]}")
     out = fs.create(draft, False)
     try:
         out.write(bytearray(json.dumps(record).encode()))
@@ -87,8 +88,8 @@ def finish(spark: SparkSession, table: str, record: dict) -> None:
     """Move what the record names; moves that were made already are left as they are."""
     folders = {f"{table.rstrip('/')}/{STAGING}/{record['batch']}"}
     for move in record["moves"]:
-        source, fs = _path(spark, move["source"])
-        place, _ = _path(spark, move["place"])
+        source, fs = located(spark, move["source"])
+        place, _ = located(spark, move["place"])
         if fs.exists(source):
             fs.mkdirs(place.getParent())
             if not fs.rename(source, place):
@@ -98,12 +99,12 @@ def finish(spark: SparkSession, table: str, record: dict) -> None:
         folders.add(move["source"].rpartition("/")[0])
     # The table's own folder goes last: while it stands, recover() comes here again.
     for folder in sorted(folders, key=lambda f: f.startswith(f"{table.rstrip('/')}/")):
-        path, fs = _path(spark, folder)
+        path, fs = located(spark, folder)
         fs.delete(path, True)
 
 
-def publish(spark: SparkSession, table: str, batch: str, moves: list[dict], covers=(), **counts):
-    record = decide(spark, table, batch, moves, covers, **counts)
+def publish(spark: SparkSession, table: str, batch: str, moves: list[dict], covers=(), **facts):
+    record = decide(spark, table, batch, moves, covers, **facts)
     finish(spark, table, record)
     return record
 
@@ -121,7 +122,7 @@ def recover(spark: SparkSession, table: str) -> list[str]:
 
 
 def batches(spark: SparkSession, table: str) -> DataFrame:
-    """(batch, rows, rejected, covers, moves) of every decided batch."""
+    """(batch, rows, rejected, covers, settings, moves) of every decided batch."""
     folder = f"{table.rstrip('/')}/{RECORDS}"
     found = [n for n in names(spark, folder) if n.endswith(".json")]
     if not found:

@@ -103,9 +103,11 @@ def _(t):
 @query(
     "agg7_feature_groups",
     f"SELECT date, {R('sum(generation_mwh)')} AS total_generation_mwh, count(*) AS readings "
-    "FROM readings WHERE date IS NOT NULL GROUP BY date HAVING sum(generation_mwh) > 60000",
+    "FROM readings WHERE date IS NOT NULL GROUP BY date HAVING sum(generation_mwh) > "
+    "(SELECT sum(generation_mwh) / count(DISTINCT date) FROM readings)",
 )
 def _(t):
+    mean = t.readings.groupBy("date").agg(F.sum("generation_mwh").alias("s")).agg(F.avg("s")).scalar()
     return (
         t.readings.filter(col("date").isNotNull())
         .groupBy("date")
@@ -113,7 +115,7 @@ def _(t):
             F.sum("generation_mwh").alias("total_generation_mwh"),
             F.count(F.lit(1)).alias("readings"),
         )
-        .filter(col("total_generation_mwh") > 60000)
+        .filter(col("total_generation_mwh") > mean)
     )
 
 

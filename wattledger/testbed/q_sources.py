@@ -1,7 +1,7 @@
 """Queries for payload parsing, file loads and sinks.
 
-Payload texts are built per row from the test tables and parsed back. File operators write
-to the session's shared folder first and read from there.
+Responses are made from all rows of the test tables, land as JSON files with one response each
+in the session's shared folder, and are read from there, as other files are.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ from wattledger import settings as cfg
 from wattledger.functions import scalars as sc
 from wattledger.operators import aggregates as ag
 from wattledger.operators import filters as fl
+from wattledger.operators import joins as jn
 from wattledger.session import scratch_path
-from wattledger.sources import files, payloads, sinks
+from wattledger.sources import commits, files, payloads, sinks
 from wattledger.streaming import incremental
 from wattledger.testbed.q_tables import D, FEAT_SQL, col
 from wattledger.testbed.registry import R, query
@@ -23,17 +24,32 @@ from wattledger.testbed.standins import AS_OF, SERIES_OF_PRIORITY, choose
 RUN = AS_OF
 
 
-def parsed(df, payload, schema, *keep):
-    """Text of ``payload`` and back, as a landed response would arrive."""
-    text = df.select(*keep, F.to_json(payload, {"ignoreNullFields": "true"}).alias("text"))
-    return text.select(*keep, F.from_json("text", schema).alias("j")).select(*keep, "j.*")
+#: Records in one response, about.
+PAGE = 1000
+
+
+def landed_json(t, responses, name=None, text=False):
+    """One file for each row of ``responses``; named ``<name>_<number>.json`` if it has a ``name``
+    column. Returns the folder."""
+    path = scratch_path(t.spark, "responses")
+    writer = responses.write.option("maxRecordsPerFile", 1)
+    writer = writer.partitionBy(name) if name else writer
+    (writer.text if text else writer.json)(path)
+    if name:
+        _, fs = commits.located(t.spark, path)
+        for folder in commits.names(t.spark, path):
+            for i, file in enumerate(n for n in commits.names(t.spark, f"{path}/{folder}") if n.startswith("part-")):
+                source, _ = commits.located(t.spark, f"{path}/{folder}/{file}")
+                place, _ = commits.located(t.spark, f"{path}/{folder.partition('=')[2]}_{i}.json")
+                assert fs.rename(source, place)
+    return path
 
 
 # ---- payloads ---------------------------------------------------------------------------
 
 
-def generation_payloads(t):
-    """Each reading as a response of two records, the second with an unusable value."""
+def generation_responses(t):
+    """Every reading as two records, the second with an unusable value."""
     def record(value):
         return F.struct(
             F.date_format("date", "yyyy-MM-dd").alias("period"),
@@ -42,9 +58,11 @@ def generation_payloads(t):
             "respondent",
         )
 
-    data = F.array(record(col("generation_mwh").cast("string")), record(F.lit("n/a")))
-    payload = F.struct(F.struct(data.alias("data")).alias("response"))
-    return parsed(t.readings, payload, schemas.GENERATION_PAYLOAD)
+    records = F.array(record(col("generation_mwh").cast("string")), record(F.lit("n/a")))
+    pages = max(1, t.source("lineitem").count() // PAGE)
+    page = F.pmod(F.xxhash64("date", "fuel_type", "generation_mwh", "respondent"), F.lit(pages))
+    data = F.flatten(F.collect_list(records)).alias("data")
+    return t.readings.groupBy(page.alias("page")).agg(F.struct(data).alias("response")).drop("page")
 
 
 @query(
@@ -53,7 +71,7 @@ def generation_payloads(t):
     "FROM readings",
 )
 def _(t):
-    return payloads.parse_generation(generation_payloads(t))
+    return payloads.read_generation(t.spark, landed_json(t, generation_responses(t)))
 
 
 @query(
@@ -61,30 +79,35 @@ def _(t):
     f"SELECT date, fuel_type, {R('generation_mwh')} AS generation_mwh, respondent FROM readings",
 )
 def _(t):
-    return payloads.parse_generation(generation_payloads(t), with_respondent=True)
+    return payloads.read_generation(t.spark, landed_json(t, generation_responses(t)), with_respondent=True)
 
 
 LONG_TEXT = " with light winds in the morning and again late at night"
 
 
-def forecast_payloads(t):
+def observation_pages(t, **arrays):
+    """One row for each page of observations: a list of ``arrays``' values for each name."""
+    page = F.expr(f"obs_id div {PAGE}").alias("page")
+    packed = F.collect_list(F.struct(*[c.alias(n) for n, c in arrays.items()])).alias("x")
+    return t.observations.groupBy(page).agg(packed)
+
+
+def forecast_files(t):
     w, k = col("wind_speed"), col("obs_id") % 3
     wind = F.when(k == 0, F.concat(w, F.lit(" to "), w + 5, F.lit(" mph"))).when(
         k == 1, F.concat(w, F.lit(" mph"))
     )
-    period = F.struct(
-        col("period").alias("name"),
-        F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("T06:00:00-08:00")).alias("startTime"),
-        F.when(col("obs_id") % 10 != 0, F.floor("temperature_f").cast("string")).alias(
-            "temperature"
-        ),
-        wind.alias("windSpeed"),
-        F.when(k == 0, "SW").alias("windDirection"),
-        F.concat("forecast", F.lit(LONG_TEXT)).alias("shortForecast"),
-        col("forecast").alias("detailedForecast"),
+    pages = observation_pages(
+        t,
+        name=col("period"),
+        startTime=F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("T06:00:00-08:00")),
+        temperature=F.when(col("obs_id") % 10 != 0, F.floor("temperature_f").cast("string")),
+        windSpeed=wind,
+        windDirection=F.when(k == 0, "SW"),
+        shortForecast=F.concat("forecast", F.lit(LONG_TEXT)),
+        detailedForecast=col("forecast"),
     )
-    payload = F.struct(F.struct(F.array(period).alias("periods")).alias("properties"))
-    return parsed(t.observations, payload, schemas.FORECAST_PAYLOAD)
+    return landed_json(t, pages.select(F.struct(col("x").alias("periods")).alias("properties")))
 
 
 TEMP_SQL = "CASE WHEN obs_id % 10 <> 0 THEN CAST(floor(temperature_f) AS INTEGER) ELSE 0 END"
@@ -97,7 +120,7 @@ TEMP_SQL = "CASE WHEN obs_id % 10 <> 0 THEN CAST(floor(temperature_f) AS INTEGER
     "'NOAA' AS data_source FROM obs",
 )
 def _(t):
-    return payloads.parse_forecast(forecast_payloads(t))
+    return payloads.read_forecast(t.spark, forecast_files(t))
 
 
 @query(
@@ -108,7 +131,7 @@ def _(t):
     f"substr(forecast || '{LONG_TEXT}', 1, 50) AS forecast, 'NOAA' AS data_source FROM obs",
 )
 def _(t):
-    return payloads.parse_forecast(forecast_payloads(t), wind="digits", max_chars=50)
+    return payloads.read_forecast(t.spark, forecast_files(t), wind="digits", max_chars=50)
 
 
 @query(
@@ -120,21 +143,20 @@ def _(t):
   forecast || '{LONG_TEXT}' AS forecast, forecast AS detailed_forecast FROM obs""",
 )
 def _(t):
-    return payloads.parse_forecast_wide(forecast_payloads(t))
+    return payloads.read_forecast_wide(t.spark, forecast_files(t))
 
 
-def series_payloads(t):
-    """Each order as a response of one value and one missing value; priority picks a series."""
-    o = t.source("orders")
+def series_files(t):
+    """Each order as a value and a missing value of the series that its priority picks."""
     day = F.date_format("o_orderdate", "yyyy-MM-dd").alias("date")
     items = F.array(
         F.struct(day, col("o_totalprice").cast("string").alias("value")),
         F.struct(day, F.lit(".").alias("value")),
     )
-    series = choose(F.substring("o_orderpriority", 1, 1), SERIES_OF_PRIORITY)
-    known = o.withColumn("series", F.coalesce(series, F.lit("OTHER")))
-    payload = F.struct(items.alias("observations"))
-    return parsed(known, payload, schemas.SERIES_PAYLOAD, "series")
+    series = F.coalesce(choose(F.substring("o_orderpriority", 1, 1), SERIES_OF_PRIORITY), F.lit("OTHER"))
+    page = F.expr(f"o_orderkey div {4 * PAGE}").alias("page")
+    pages = t.source("orders").groupBy(series.alias("series"), page).agg(F.flatten(F.collect_list(items)).alias("observations"))
+    return landed_json(t, pages.drop("page"), "series")
 
 
 SERIES_CASE = "CASE substr(o_orderpriority, 1, 1) {} ELSE {} END"
@@ -151,8 +173,7 @@ def series_case(table, other):
     f"AS indicator, {R('o_totalprice')} AS value, 'FRED' AS data_source FROM orders",
 )
 def _(t):
-    name = sc.map_lookup(col("series"), cfg.SERIES_INDICATORS, col("series"))
-    return payloads.parse_series(series_payloads(t), name)
+    return payloads.read_series(t.spark, series_files(t))
 
 
 @query(
@@ -163,8 +184,7 @@ def _(t):
     f"{series_case(cfg.SERIES_UNITS, 'Units')} AS units FROM orders",
 )
 def _(t):
-    return payloads.parse_series_described(series_payloads(t), col("series"))
-
+    return payloads.read_series_described(t.spark, series_files(t))
 
 
 @query(
@@ -181,41 +201,59 @@ FROM (SELECT *, CASE WHEN hi <> 0 AND lo <> 0 THEN (hi + lo) / 2
 )
 def _(t):
     k = col("obs_id")
-    daily = F.struct(
-        F.array(F.date_format("date", "yyyy-MM-dd")).alias("time"),
-        F.array(F.when(k % 7 != 0, (k % 100).cast("double") / 2)).alias("temperature_2m_max"),
-        F.array((k % 37).cast("double") / 2).alias("temperature_2m_min"),
-        F.array((k % 50).cast("double") / 2).alias("temperature_2m_mean"),
-        F.array(col("wind_speed").cast("double")).alias("windspeed_10m_max"),
-        F.array(col("temperature_f") / 100).alias("precipitation_sum"),
-        F.array((k % 100).cast("int")).alias("weathercode"),
-    )
-    landed = parsed(
-        t.observations, F.struct(daily.alias("daily")), schemas.HISTORICAL_PAYLOAD
-    )
-    return payloads.parse_historical_weather(landed)
+    values = {
+        "time": F.date_format("date", "yyyy-MM-dd"),
+        "temperature_2m_max": F.when(k % 7 != 0, (k % 100).cast("double") / 2),
+        "temperature_2m_min": (k % 37).cast("double") / 2,
+        "temperature_2m_mean": (k % 50).cast("double") / 2,
+        "windspeed_10m_max": col("wind_speed").cast("double"),
+        "precipitation_sum": col("temperature_f") / 100,
+        "weathercode": (k % 100).cast("int"),
+    }
+    pages = observation_pages(t, **values)
+    daily = F.struct(*[col(f"x.{n}").alias(n) for n in values]).alias("daily")
+    return payloads.read_historical_weather(t.spark, landed_json(t, pages.select(daily)))
 
 
-@query(
-    "src7_validate_payload",
-    """SELECT o_orderkey, o_orderkey % 4 = 3 AS is_valid, CASE o_orderkey % 4
-  WHEN 0 THEN 'Missing ''response'' key in API data' WHEN 1 THEN 'Missing ''data'' key in response'
-  WHEN 2 THEN 'No data found in API response' END AS error FROM orders""",
+ERRORS = (
+    "CASE {k} WHEN 0 THEN 'Missing ''response'' key in API data' WHEN 1 THEN "
+    "'Missing ''data'' key in response' WHEN 2 THEN 'No data found in API response' END"
 )
-def _(t):
-    k = col("o_orderkey") % 4
-    text = (
+
+
+def texts_of(k):
+    """A response text for each remainder of four, the last one valid."""
+    return (
         F.when(k == 0, '{"error": "none"}')
         .when(k == 1, '{"response": {"total": 0}}')
         .when(k == 2, '{"response": {"data": []}}')
         .otherwise('{"response": {"data": [{"period": "1999-01-01"}]}}')
     )
+
+
+@query(
+    "src7_validate_payload",
+    f"SELECT o_orderkey, o_orderkey % 4 = 3 AS is_valid, {ERRORS.format(k='o_orderkey % 4')} AS error FROM orders",
+)
+def _(t):
     landed = t.source("orders").select(
-        "o_orderkey", F.from_json(text, schemas.GENERATION_PAYLOAD).alias("j")
+        "o_orderkey", F.from_json(texts_of(col("o_orderkey") % 4), schemas.GENERATION_PAYLOAD).alias("j")
     )
     return payloads.validate_payload(landed.select("o_orderkey", "j.*"), "o_orderkey")
 
 
+@query(
+    "src7_validate_files",
+    f"SELECT page, page % 4 = 3 AS is_valid, {ERRORS.format(k='page % 4')} AS error "
+    "FROM (SELECT DISTINCT o_orderkey // 250 AS page FROM orders)",
+)
+def _(t):
+    pages = t.source("orders").select(F.expr("o_orderkey div 250").alias("page")).distinct()
+    folder = landed_json(t, pages.select("page", texts_of(col("page") % 4).alias("value")), "page", text=True)
+    page = payloads.series_of_file(col("source_file")).cast("long").alias("page")
+    return payloads.validate_files(t.spark, folder).select(page, "is_valid", "error")
+
+
 @query(
     "src8_feed_filter",
     f"""SELECT date, fuel_type, {R('generation_mwh')} AS generation_mwh, respondent FROM readings
@@ -318,6 +356,64 @@ def _(t):
     return as_doubles(t.spark.read.parquet(target).drop("created_at"))
 
 
+@query("src10_beside_other_writers", f"SELECT * FROM ({LOADS['raw_economic_data'][1]}) UNION ALL SELECT * FROM ({LOADS['raw_economic_data'][1]})")
+def _(t):
+    name, frame = "raw_economic_data", raw_frames(t)["raw_economic_data"]
+    target, marks = scratch_path(t.spark, "table"), scratch_path(t.spark, "marks")
+    half = F.dayofmonth("date") % 2 == 0
+    typed = schemas.select_typed(frame, name)
+    typed.filter(half).write.parquet(target)  # another writer before the load and one after it
+    incremental.load_new_files(t.spark, landed(t, frame, name), name, target, marks)
+    typed.filter(~half).write.mode("append").parquet(target)
+    return as_doubles(commits.read(t.spark, target, schemas.TABLES[name]).drop("created_at"))
+
+
+@query(
+    "src10_rejected_records",
+    "SELECT CAST(count(*) FILTER (WHERE l_orderkey % 9 > 0) AS BIGINT) AS rows, "
+    "CAST(count(*) FILTER (WHERE l_orderkey % 9 = 0) AS BIGINT) AS rejected FROM lineitem",
+)
+def _(t):
+    """Every line as a CSV record, each ninth order's with a text for a number."""
+    name = "raw_eia_data"
+    value = F.when(col("l_orderkey") % 9 == 0, "many").otherwise(col("l_quantity").cast("string"))
+    frame = t.source("lineitem").select(
+        col("l_shipdate").cast("date").alias("date"), F.lit("NG").alias("fuel_type"),
+        value.alias("generation_mwh"), F.lit("EIA").alias("data_source"))
+    target, marks, bad = (scratch_path(t.spark, n) for n in ("table", "marks", "rejected"))
+    incremental.load_new_files(t.spark, landed(t, frame, name), name, target, marks, rejected=bad)
+    kept = commits.read(t.spark, target, schemas.TABLES[name]).agg(F.count(F.lit(1)).alias("rows"))
+    refused = t.spark.read.schema(incremental.REJECTED).parquet(bad).filter("record like '%many%'")
+    return jn.attach_single_rows(kept, refused.agg(F.count(F.lit(1)).alias("rejected")))
+
+
+def stream_query(key, sql, name, files_of):
+    """The rows that a stream of landed responses appends to a raw table."""
+    @query(key, sql)
+    def _(t):
+        target, marks = scratch_path(t.spark, "table"), scratch_path(t.spark, "marks")
+        landing = files_of(t)
+        for _ in range(2):
+            incremental.load_new_responses(t.spark, landing, name, target, marks)
+        return as_doubles(commits.read(t.spark, target, schemas.TABLES[name]).drop("created_at"))
+
+
+stream_query(
+    "src1_response_stream",
+    f"SELECT date, fuel_type, {R('generation_mwh')} AS generation_mwh, 'EIA' AS data_source FROM readings",
+    "raw_eia_data", lambda t: landed_json(t, generation_responses(t)))
+stream_query(
+    "src2_response_stream",
+    f"SELECT date, {TEMP_SQL} AS temperature_f, CASE WHEN obs_id % 3 < 2 THEN wind_speed ELSE 0 "
+    f"END AS wind_speed, forecast || '{LONG_TEXT}' AS forecast, 'NOAA' AS data_source FROM obs",
+    "raw_weather_data", forecast_files)
+stream_query(
+    "src4_response_stream",
+    f"SELECT CAST(o_orderdate AS DATE) AS date, {series_case(cfg.SERIES_INDICATORS, 'OTHER')} "
+    f"AS indicator, {R('o_totalprice')} AS value, 'FRED' AS data_source FROM orders",
+    "raw_economic_data", series_files)
+
+
 PRED_SQL = (
     "SELECT date, floor(predicted_liquidity_millions * 10) / 10 "
     "AS predicted_liquidity_millions, model_version FROM pred"

@@ -19,6 +19,7 @@ from wattledger.testbed.standins import AS_OF
 D = f"DATE '{AS_OF}'"
 LIQ = "liquidity_need_millions"
 PRED = "predicted_liquidity_millions"
+UNWEATHERED = [c for c in feats.ML_COLUMNS[1:] if c != "avg_temperature_f"]
 FEAT_SQL = ", ".join(["date", *[f"{R(c)} AS {c}" for c in feats.ML_COLUMNS[1:]]])
 ERR = f"abs({LIQ} - {PRED})"
 
@@ -63,21 +64,34 @@ def _(t):
 
 @query(
     "flt5_drop_incomplete",
-    f"SELECT {FEAT_SQL} FROM feat WHERE avg_temperature_f IS NOT NULL "
-    "AND oil_price_usd IS NOT NULL AND industrial_production_index IS NOT NULL "
+    f"SELECT date, {R('oil_price_usd')} AS oil_price_usd, {R('avg_electricity_price')} AS avg_electricity_price "
+    "FROM feat WHERE oil_price_usd IS NOT NULL AND avg_electricity_price IS NOT NULL",
+)
+def _(t):
+    return fl.drop_incomplete(t.features.select("date", "oil_price_usd", "avg_electricity_price"))
+
+
+@query(
+    "flt5_drop_incomplete_features",
+    f"SELECT {', '.join(['date', *[R(c) + ' AS ' + c for c in UNWEATHERED]])} FROM feat "
+    "WHERE oil_price_usd IS NOT NULL AND industrial_production_index IS NOT NULL "
     "AND ca_unemployment_rate IS NOT NULL AND avg_electricity_price IS NOT NULL",
 )
 def _(t):
-    return fl.drop_incomplete(t.features)
+    """Feature days with every column but the temperature, which few days have."""
+    return fl.drop_incomplete(t.features.select("date", *UNWEATHERED))
 
 
 @query(
     "flt6_having",
     f"SELECT date, {R('sum(generation_mwh)')} AS total_generation_mwh FROM gen GROUP BY date "
-    "HAVING sum(generation_mwh) > 50000",
+    "HAVING sum(generation_mwh) > (SELECT sum(generation_mwh) / count(DISTINCT date) FROM gen)",
 )
 def _(t):
-    return ag.daily_generation(t.generation).filter(col("total_generation_mwh") > 50000)
+    """Days above the mean day's generation."""
+    daily = ag.daily_generation(t.generation)
+    mean = daily.agg(F.avg("total_generation_mwh")).scalar()
+    return daily.filter(col("total_generation_mwh") > mean)
 
 
 @query(

@@ -64,6 +64,13 @@ def prepare(
     return filters.require(impute(df, features, order, descending), [target])
 
 
+def split_ticket(keys: Sequence[str], seed: int) -> Column:
+    """The first 64 bits of the digest of the key's texts and the seed, as a long in their order."""
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+    number = F.conv(F.substring(digest, 1, 16), 16, 10).cast("decimal(20,0)")
+    return (number - F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("long")
+
+
 def split(
     df: DataFrame,
     keys: Sequence[str] = ("date",),
@@ -72,11 +79,11 @@ def split(
 ) -> DataFrame:
     """Adds ``is_validation``, true for exactly ``ceil(share · rows)`` rows (unique keys).
 
-    Rows are ranked by a seeded hash of their key, and the hash at the wanted rank is found
+    Rows are ranked by a seeded digest of their key, and the hash at the wanted rank is found
     by counting: no global sort, no collected rows, and the same seed always gives the same
     split. Rows with equal keys fall on the same side.
     """
-    ticket = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
+    ticket = split_ticket(keys, seed)
     cut = quantiles.hash_threshold(df, ticket, lambda n: F.ceil(n * F.lit(float(share))))
     return df.withColumn("is_validation", F.coalesce(ticket <= cut.scalar(), F.lit(False)))
 
@@ -168,14 +175,17 @@ class LiquidityModel:
         return self
 
     def train(
-        self, df: DataFrame, keys: Sequence[str] = ("date",), share: float = cfg.VALIDATION_SHARE
+        self, df: DataFrame, keys: Sequence[str] = ("date",), share: float = cfg.VALIDATION_SHARE,
+        stored: bool = False,
     ) -> LiquidityModel:
         """Split, fit on the training part and score both parts.
 
         Training passes over the rows several times, so they are written to the shared
-        folder once, with and without the split, instead of being derived for each pass.
+        folder once, with and without the split, instead of being derived for each pass;
+        ``stored`` says that ``df`` is read from files already.
         """
-        rows = materialize(df.select(*keys, *self.features, self.target), "training")
+        rows = df.select(*keys, *self.features, self.target)
+        rows = rows if stored else materialize(rows, "training")
         parts = materialize(split(rows, keys, share, self.seed), "split")
         self.fit(parts.filter(~F.col("is_validation")))
         scores = self.evaluate(parts).collect()  # two rows

@@ -10,6 +10,7 @@ from wattledger.functions import buckets as bk
 from wattledger.operators import aggregates as ag
 from wattledger.operators import joins as jn
 from wattledger.operators import sets, windows
+from wattledger.plans import model as ml
 from wattledger.plans import features as feats
 from wattledger.plans import views
 from wattledger.testbed.q_tables import (
@@ -567,6 +568,44 @@ def _(t):
     return windows.backward_fill(t.features, FILLED).select("date", *FILLED)
 
 
+READINGS_SQL = (
+    "(SELECT CAST(l_shipdate AS DATE) AS date, l_orderkey, l_linenumber, l_partkey, l_linestatus, "
+    "CASE WHEN l_partkey % 5 = 0 THEN l_quantity END AS v FROM lineitem)"
+)
+
+
+def gappy_readings(t):
+    """Every line as a reading, four of five without a value."""
+    return t.source("lineitem").select(
+        col("l_shipdate").cast("date").alias("date"), "l_orderkey", "l_linenumber", "l_partkey", "l_linestatus",
+        F.when(col("l_partkey") % 5 == 0, col("l_quantity")).alias("v"))
+
+
+def scan_sql(value: str) -> str:
+    return f"SELECT date, l_orderkey, l_linenumber, l_partkey, l_linestatus, {value} AS v FROM {READINGS_SQL}"
+
+
+LINE = "ORDER BY date, l_orderkey, l_linenumber, l_partkey ROWS BETWEEN"
+BEFORE = "last_value(v IGNORE NULLS) OVER ({0}" + LINE + " UNBOUNDED PRECEDING AND CURRENT ROW)"
+AFTER = "first_value(v IGNORE NULLS) OVER ({0}" + LINE + " CURRENT ROW AND UNBOUNDED FOLLOWING)"
+LINE_ORDER = ["date", "l_orderkey", "l_linenumber", "l_partkey"]
+
+
+@query("win3_scan_forward", scan_sql(BEFORE.format("PARTITION BY l_linestatus ")))
+def _(t):
+    return windows.scan_fill(gappy_readings(t), ["v"], LINE_ORDER, by=["l_linestatus"])
+
+
+@query("win4_scan_backward", scan_sql(AFTER.format("")))
+def _(t):
+    return windows.scan_fill(gappy_readings(t), ["v"], LINE_ORDER, forward=False, backward=True)
+
+
+@query("mla1_impute_rows", scan_sql(f"coalesce({BEFORE.format('')}, {AFTER.format('')})"))
+def _(t):
+    return ml.impute(gappy_readings(t), ["v"], LINE_ORDER)
+
+
 # ---- ordered reads ----------------------------------------------------------------------
 
 

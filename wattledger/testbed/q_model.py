@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattledger import schemas
-from wattledger.operators import metrics, quality
+from wattledger import settings as cfg
+from wattledger.operators import metrics, normal_equations, quality
 from wattledger.operators import joins as jn
 from wattledger.functions import scalars
 from wattledger.plans import features as feats
@@ -66,7 +67,14 @@ def _(t):
     )
 
 
-@query("mla2_split_rows")
+RANKED = "md5(CAST(date AS VARCHAR) || '|42')"
+
+
+@query(
+    "mla2_split_rows",
+    f"SELECT date, row_number() OVER (ORDER BY {RANKED}) <= ceil(count(*) OVER () * CAST(0.2 AS DOUBLE)) "
+    "AS is_validation FROM feat",
+)
 def _(t):
     return ml.split(t.features).select("date", "is_validation")
 
@@ -85,19 +93,84 @@ def _(t):
     return ml.standardize(t.features, t.features, names).select("date", *names)
 
 
+def fit_sql(body: str, alpha: float = 0.0, split: bool = True) -> str:
+    """``body`` over ``fitted`` (date, is_validation, y, r): residuals r of the regression of y on
+    the standardised features, fitted on the training part (or on all rows).
+
+    The features are made orthogonal one after the other, and y is projected on each. Ridge
+    adds a row sqrt(alpha) for each feature. The row without a date holds the newest known
+    features and y = 0, so its prediction is -r.
+    """
+    xs = list(enumerate(schemas.FEATURES))
+    held = f"row_number() OVER (ORDER BY {RANKED}) <= ceil(count(*) OVER () * CAST(0.2 AS DOUBLE))"
+    plain = [
+        f"coalesce(last_value({c} IGNORE NULLS) OVER (ORDER BY date DESC ROWS BETWEEN UNBOUNDED "
+        f"PRECEDING AND CURRENT ROW), first_value({c} IGNORE NULLS) OVER (ORDER BY date DESC "
+        f"ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS x{i}" for i, c in xs]
+    newest = [f"arg_max({c}, date) FILTER (WHERE {c} IS NOT NULL) AS x{i}" for i, c in xs]
+    steps = [
+        f"parts AS (SELECT date, {held if split else 'false'} AS is_validation, {LIQ} AS y, {', '.join(plain)} FROM feat)",
+        "stats AS (SELECT avg(y) AS my, "
+        + ", ".join(f"avg(x{i}) AS m{i}, coalesce(nullif(stddev_pop(x{i}), 0), 1) AS s{i}" for i, _ in xs)
+        + " FROM parts WHERE NOT is_validation)",
+        f"ahead AS (SELECT CAST(NULL AS DATE) AS date, true AS is_validation, CAST(0 AS DOUBLE) AS y, {', '.join(newest)} FROM feat)",
+        "g0 AS (SELECT date, is_validation, y, y - my AS r, "
+        + ", ".join(f"(x{i} - m{i}) / s{i} AS a{i}" for i, _ in xs)
+        + " FROM (SELECT * FROM parts UNION ALL SELECT * FROM ahead), stats"
+        + (
+            " UNION ALL SELECT DATE '1900-01-01', false, 0, 0, "
+            + ", ".join(f"CASE WHEN k = {i} THEN sqrt(CAST({alpha} AS DOUBLE)) ELSE 0 END" for i, _ in xs)
+            + f" FROM range({len(xs)}) q(k)" if alpha else "")
+        + ")",
+    ]
+    for i, _ in xs:
+        def share(v, i=i):
+            return (
+                f"coalesce(sum(a{i} * {v}) FILTER (WHERE NOT is_validation) OVER () / "
+                f"nullif(sum(a{i} * a{i}) FILTER (WHERE NOT is_validation) OVER (), 0), 0)")
+        later = [f"a{j} - a{i} * {share(f'a{j}')} AS a{j}" for j, _ in xs if j > i]
+        columns = ["date", "is_validation", "y", f"r - a{i} * {share('r')} AS r", *later]
+        steps.append(f"g{i + 1} AS (SELECT {', '.join(columns)} FROM g{i})")
+    steps.append(f"fitted AS (SELECT * FROM g{len(xs)} WHERE date IS NULL OR date > DATE '1900-01-01')")
+    return "WITH " + ",\n".join(steps) + "\n" + body + " /* feat */"
+
+
+COMPARED = (
+    f"SELECT date, {R('y')} AS actual, {R('y - r')} AS predicted, {R('abs(r)')} AS error "
+    "FROM fitted WHERE date IS NOT NULL"
+)
+
+
 def _fit(t, model_type, **params):
     return ml.LiquidityModel(model_type, params=params).train(training(t))
 
 
-for key, model_type in [
-    ("mla4_linear_regression", "linear_regression"),
-    ("mla5_ridge", "ridge"),
-    ("mla6_random_forest", "random_forest"),
+for key, model_type, text in [
+    ("mla4_linear_regression", "linear_regression", fit_sql(COMPARED)),
+    ("mla5_ridge", "ridge", fit_sql(COMPARED, cfg.RIDGE_ALPHA)),
+    ("mla6_random_forest", "random_forest", None),
 ]:
-    @query(key)
+    @query(key, text)
     def _(t, model_type=model_type):
         rows = stored_training(t)
-        return ml.compare(ml.LiquidityModel(model_type).train(rows), rows)
+        return ml.compare(ml.LiquidityModel(model_type).train(rows, stored=True), rows)
+
+
+def by_day_sums(t):
+    """Moments of each day's training rows, stored, as a daily run would keep them."""
+    sums = normal_equations.moments(training(t), schemas.FEATURES, LIQ, by=["date"])
+    return materialize(sums, "moments")
+
+
+for key, alpha in [("mla4_normal_equations", 0.0), ("mla5_normal_equations", cfg.RIDGE_ALPHA)]:
+    @query(key, fit_sql(COMPARED, alpha, split=False))
+    def _(t, alpha=alpha):
+        """Fitted from the added-up sums of all days, without a pass over the rows."""
+        row = normal_equations.merged(by_day_sums(t)).first().asDict()
+        found = normal_equations.solve(row, schemas.FEATURES, LIQ, alpha)
+        scored = training(t).withColumn("predicted", found.predicted())
+        return scored.select(
+            "date", col(LIQ).alias("actual"), "predicted", F.abs(col(LIQ) - col("predicted")).alias("error"))
 
 
 @query(
@@ -127,7 +200,13 @@ def _(t):
     return metrics.regression_metrics(joined, LIQ, PRED, ["model_version"])
 
 
-@query("mla7_model_metrics")
+@query(
+    "mla7_model_metrics",
+    fit_sql(
+        f"SELECT is_validation, {R('avg(abs(r))')} AS mae, {R('sqrt(avg(r * r))')} AS rmse, "
+        f"{R('1 - avg(r * r) / var_pop(y)')} AS r2, {R('avg(abs(r / y)) * 100')} AS mape, count(*) AS n "
+        "FROM fitted WHERE date IS NOT NULL GROUP BY is_validation"),
+)
 def _(t):
     parts = materialize(ml.split(stored_training(t)), "split")
     model = ml.LiquidityModel().fit(parts.filter(~col("is_validation")))
@@ -172,7 +251,15 @@ def _(t):
     )
 
 
-@query("mla11_forecast")
+@query(
+    "mla11_forecast",
+    fit_sql(
+        f"""SELECT {D} + CAST(i AS INTEGER) AS date, round(p, 2) AS predicted_liquidity_millions,
+  'v{AS_OF.replace("-", "")}' AS model_version, round(p - 1.96 * rmse, 2) AS confidence_interval_lower,
+  round(p + 1.96 * rmse, 2) AS confidence_interval_upper
+FROM (SELECT -r AS p FROM fitted WHERE date IS NULL),
+  (SELECT sqrt(avg(r * r)) AS rmse FROM fitted WHERE is_validation AND date IS NOT NULL), range(1, 8) d(i)"""),
+)
 def _(t):
     model = _fit(t, "linear_regression")
     return ml.forecast(model, t.features, AS_OF).drop("prediction_timestamp")
@@ -188,7 +275,7 @@ def _(t):
     return ml.performance_rows(t.features, t.predictions, AS_OF)
 
 
-@query("mla13_compare")
+@query("mla13_compare", fit_sql(COMPARED, split=False))
 def _(t):
     rows = stored_training(t)
     return ml.compare(ml.LiquidityModel().fit(rows), rows)

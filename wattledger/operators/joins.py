@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattledger.operators import calendars
 from wattledger.operators.filters import restrict_to_dates
 from wattledger.session import materialize
 
@@ -158,23 +159,9 @@ def join_daily_weather(generation: DataFrame, weather: DataFrame) -> DataFrame:
     return gen.join(temp, "date", "inner")
 
 
-def _dates(df: DataFrame) -> DataFrame:
-    return df.select(F.to_date("date").alias("date")).filter(F.col("date").isNotNull())
-
-
 def source_flags(sources: dict[str, DataFrame]) -> DataFrame:
     """One row per date seen in any source with a 0/1 flag per source."""
-    tagged = [
-        _dates(df).select(
-            "date", *[F.lit(1 if n == name else 0).alias(n) for n in sources]
-        )
-        for name, df in sources.items()
-    ]
-    return (
-        reduce(DataFrame.unionByName, tagged)
-        .groupBy("date")
-        .agg(*[F.max(n).alias(n) for n in sources])
-    )
+    return calendars.flags(sources)
 
 
 def availability(

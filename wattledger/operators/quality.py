@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -35,17 +35,24 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def row_count(df: DataFrame, as_of, table: str = "ml_features", days: int = 30,
               minimum: int = cfg.MIN_ROWS, maximum: int | None = None) -> DataFrame:
     """Rows of the last ``days``; PASS at ``minimum`` or more (and ``maximum`` or fewer)."""
+    counted = filters.look_back(df, as_of, days).agg(F.count(F.lit(1)).alias("n"))
+    return _row_count(counted, as_of, table, minimum, maximum)
+
+
+def _row_count(counted: DataFrame, as_of, table: str, minimum: int, maximum: int | None) -> DataFrame:
     n = F.col("n")
     ok = n >= minimum if maximum is None else n.between(minimum, maximum)
-    counted = filters.look_back(df, as_of, days).agg(F.count(F.lit(1)).alias("n"))
     return _metric(counted, as_of, table, F.lit("row_count"), n, ok, F.lit(minimum))
 
 
 def freshness(df: DataFrame, as_of, table: str = "ml_features",
               limit: int = cfg.MAX_DAYS_OLD) -> DataFrame:
     """Days the newest date lags behind ``as_of``."""
+    return _freshness(df.agg(F.max("date").alias("newest")), as_of, table, limit)
+
+
+def _freshness(newest: DataFrame, as_of, table: str, limit: int) -> DataFrame:
     age = F.datediff(as_date(as_of), F.col("newest"))
-    newest = df.agg(F.max("date").alias("newest"))
     return _metric(newest, as_of, table, F.lit("freshness_days"), age, age <= limit, F.lit(limit))
 
 
@@ -56,6 +63,10 @@ def completeness(df: DataFrame, as_of, table: str = "ml_features",
     cols = list(columns or df.columns)
     total = F.count(F.lit(1))
     wide = df.agg(*[(F.try_divide(F.count(c), total) * 100.0).alias(c) for c in cols])
+    return _completeness(wide, as_of, table, cols, minimum)
+
+
+def _completeness(wide: DataFrame, as_of, table: str, cols: list[str], minimum: float) -> DataFrame:
     long = wide.unpivot([], cols, "column", "pct")
     return _metric(
         long, as_of, table, F.concat(F.lit("completeness_"), F.col("column")), F.col("pct"),
@@ -217,3 +228,57 @@ def prediction_errors(features: DataFrame, predictions: DataFrame) -> DataFrame:
         "absolute_error",
         absolute_error(F.col("liquidity_need_millions"), F.col("predicted_liquidity_millions")),
     )
+
+
+class Watch:
+    """The checks of one table from a single pass that something else makes over it.
+
+    ``frame`` is the table with the counts attached (``DataFrame.observe``): whatever action
+    reads all of it first, such as an export, fills them, and the checks cost no scan of their
+    own. They give the rows of the functions of the same names.
+    """
+
+    def __init__(self, df: DataFrame, as_of, table: str = "ml_features", days: int = 30):
+        self.spark, self.as_of, self.table = df.sparkSession, as_of, table
+        self.columns, self.numbers = list(df.columns), numeric_columns(df)
+        self._seen = Observation()
+        recent = F.col("date") >= F.date_sub(as_date(as_of), days)
+        counts = [F.count(F.lit(1)).alias("rows"), F.count(F.when(recent, 1)).alias("recent"), F.max("date").alias("newest")]
+        counts += [F.count(c).alias(f"known_{c}") for c in self.columns]
+        for c in self.numbers:
+            value = F.col(c).cast("double")
+            counts += [F.count(F.when(F.col(c) < 0, 1)).alias(f"negative_{c}"), F.min(value).alias(f"min_{c}"), F.max(value).alias(f"max_{c}")]
+        self._kinds = df.agg(*counts).schema
+        self.frame = df.observe(self._seen, *counts)
+
+    def _one(self) -> DataFrame:
+        """What was counted, as one row; waits for the action on ``frame``."""
+        got = self._seen.get
+        return self.spark.createDataFrame([tuple(got[n] for n in self._kinds.names)], self._kinds)
+
+    def row_count(self, minimum: int = cfg.MIN_ROWS, maximum: int | None = None) -> DataFrame:
+        counted = self._one().select(F.col("recent").alias("n"))
+        return _row_count(counted, self.as_of, self.table, minimum, maximum)
+
+    def freshness(self, limit: int = cfg.MAX_DAYS_OLD) -> DataFrame:
+        return _freshness(self._one(), self.as_of, self.table, limit)
+
+    def completeness(self, columns: Sequence[str] | None = None, minimum: float = cfg.MIN_COMPLETE_PCT) -> DataFrame:
+        cols = list(columns or self.columns)
+        shares = [(F.try_divide(F.col(f"known_{c}"), F.col("rows")) * 100.0).alias(c) for c in cols]
+        return _completeness(self._one().select(*shares), self.as_of, self.table, cols, minimum)
+
+    def _by_column(self, cols: list[str], **values) -> DataFrame:
+        wide = self._one().select(*[F.struct(*[v(c).alias(n) for n, v in values.items()]).alias(c) for c in cols])
+        return wide.unpivot([], cols, "column", "s").select("column", *[f"s.{n}" for n in values])
+
+    def null_profile(self) -> DataFrame:
+        nulls = lambda c: F.col("rows") - F.col(f"known_{c}")
+        return self._by_column(
+            self.columns, nulls=nulls, null_pct=lambda c: F.try_divide(nulls(c), F.col("rows")) * 100.0)
+
+    def negatives(self) -> DataFrame:
+        return self._by_column(self.numbers, negatives=lambda c: F.col(f"negative_{c}"))
+
+    def value_ranges(self) -> DataFrame:
+        return self._by_column(self.numbers, min=lambda c: F.col(f"min_{c}"), max=lambda c: F.col(f"max_{c}"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions.scalars import as_date
-from wattledger.operators import filters
+from wattledger.operators import calendars, filters
 
 
 def current_status(features: DataFrame, predictions: DataFrame, as_of) -> DataFrame:
@@ -56,12 +56,13 @@ def concat(frames: list[DataFrame], like: DataFrame | None = None) -> DataFrame
 
 
 def date_intersection(*frames: DataFrame) -> DataFrame:
-    """Dates in all frames; each feed is reduced to its dates before they meet."""
-    return reduce(DataFrame.intersect, [f.select("date").distinct() for f in frames])
+    """Dates in all frames; each feed is reduced to a bitmap of its days before they meet."""
+    return calendars.intersection(*frames)
 
 
 def date_union(*frames: DataFrame) -> DataFrame:
-    return reduce(DataFrame.union, [f.select("date") for f in frames]).distinct()
+    """Dates in any frame."""
+    return calendars.union(*frames)
 
 
 def newest_first(df: DataFrame, *then: str) -> DataFrame:

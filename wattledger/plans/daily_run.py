@@ -74,13 +74,13 @@ def rebuild_features(spark: SparkSession, store: str, **weights) -> DataFrame:
     return schemas.select_typed(feats.ml_features(*raw, **weights), "ml_features")
 
 
-def save_checks(features: DataFrame, predictions: DataFrame, as_of, store: str) -> None:
+def save_checks(features: DataFrame, predictions: DataFrame, as_of, store: str, watch: quality.Watch) -> None:
     """The run's quality rows and model scores, kept by run date: a repeated run replaces its
-    own."""
+    own. What ``watch`` counted during the export is not read again."""
     checks = [
-        quality.row_count(features, as_of),
-        quality.freshness(features, as_of),
-        quality.completeness(features, as_of),
+        watch.row_count(),
+        watch.freshness(),
+        watch.completeness(),
         quality.accuracy(features, predictions, as_of),
     ]
     rows = reduce(DataFrame.unionByName, checks)
@@ -92,7 +92,6 @@ def save_checks(features: DataFrame, predictions: DataFrame, as_of, store: str)
 def train_and_forecast(
     spark: SparkSession, features: DataFrame, as_of, store: str, model_type="linear_regression"
 ) -> tuple[ml.LiquidityModel, DataFrame]:
-    sinks.export_training(features, f"{store}/training")
     rows = ml.prepare(sinks.training_rows(features, keep_date=True))
     model = ml.LiquidityModel(model_type).train(rows)
     model.save(spark, f"{store}/models/{as_of}")
@@ -131,7 +130,9 @@ def run(
     ``incremental.csv_stream``; ``weights`` are those of the target."""
     ingest(spark, landing, store, clean, archive)
     features = build_features(spark, store, **weights)
+    watch = quality.Watch(features, as_of)
+    sinks.export_training(watch.frame, f"{store}/training")
     model, predictions = train_and_forecast(spark, features, as_of, store, model_type)
-    save_checks(features, predictions, as_of, store)
+    save_checks(features, predictions, as_of, store, watch)
     generation, weather = (table(spark, store, t) for t in ("raw_eia_data", "raw_weather_data"))
     return model, publish(features, predictions, generation, weather, as_of)

@@ -708,12 +708,13 @@ def _(t):
 
 @query(
     "set3_concat",
-    f"SELECT date, indicator, {R('value')} AS value FROM econ",
+    f"SELECT date, indicator, {R('value')} AS value FROM econ UNION ALL "
+    f"SELECT date, price_type, {R('price_per_mwh')} FROM price",
 )
 def _(t):
-    # Both halves of the orders' series, each its own frame.
-    known = col("indicator").isin(*cfg.SERIES_INDICATORS.values())
-    return sets.concat([t.economic.filter(known), t.economic.filter(~known)])
+    """Two feeds below each other, columns by name."""
+    prices = t.price.select(col("price_per_mwh").alias("value"), "date", col("price_type").alias("indicator"))
+    return sets.concat([t.economic, prices])
 
 
 @query(

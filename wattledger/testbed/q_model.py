@@ -330,33 +330,29 @@ def dq_sql(table, metric, value, ok, threshold, source):
     )
 
 
-@query(
-    "dqc1_row_count",
-    dq_sql("ml_features", "row_count", "count(*)", "count(*) >= 30", 30,
-           f"feat WHERE date >= {D} - 30"),
+ROW_COUNT = dq_sql(
+    "ml_features", "row_count", "count(*)", "count(*) >= 30", 30, f"feat WHERE date >= {D} - 30")
+FRESHNESS = dq_sql(
+    "ml_features", "freshness_days", f"date_diff('day', max(date), {D})",
+    f"date_diff('day', max(date), {D}) <= 2", 2, "feat")
+COMPLETENESS = " UNION ALL ".join(
+    dq_sql("ml_features", f"completeness_{c}", f"CAST(count({c}) AS DOUBLE) / count(*) * 100",
+           f"CAST(count({c}) AS DOUBLE) / count(*) * 100 >= 90", 90, "feat")
+    for c in feats.ML_COLUMNS
 )
+
+
+@query("dqc1_row_count", ROW_COUNT)
 def _(t):
     return quality.row_count(t.features, AS_OF)
 
 
-@query(
-    "dqc2_freshness",
-    dq_sql("ml_features", "freshness_days", f"date_diff('day', max(date), {D})",
-           f"date_diff('day', max(date), {D}) <= 2", 2, "feat"),
-)
+@query("dqc2_freshness", FRESHNESS)
 def _(t):
     return quality.freshness(t.features, AS_OF)
 
 
-@query(
-    "dqc3_completeness",
-    " UNION ALL ".join(
-        dq_sql("ml_features", f"completeness_{c}",
-               f"CAST(count({c}) AS DOUBLE) / count(*) * 100",
-               f"CAST(count({c}) AS DOUBLE) / count(*) * 100 >= 90", 90, "feat")
-        for c in feats.ML_COLUMNS
-    ),
-)
+@query("dqc3_completeness", COMPLETENESS)
 def _(t):
     return quality.completeness(t.features, AS_OF)
 
@@ -505,3 +501,34 @@ def _(t):
         incremental_features.refresh(t.spark, store, **weights)
     stored = t.spark.read.schema(schemas.TABLES["ml_features"]).parquet(f"{store}/ml_features")
     return stored.select("date", *[col(c).cast("double").alias(c) for c in NUMBERS])
+
+
+# ---- checks from one pass -----------------------------------------------------------------
+
+
+def watched(t):
+    """Checks of the feature table, filled by writing it."""
+    watch = quality.Watch(t.features, AS_OF)
+    watch.frame.write.parquet(scratch_path(t.spark, "watched"))
+    return watch
+
+
+@query("dqc3_one_pass", " UNION ALL ".join(f"SELECT * FROM ({text})" for text in (ROW_COUNT, FRESHNESS, COMPLETENESS)))
+def _(t):
+    watch = watched(t)
+    return watch.row_count().unionByName(watch.freshness()).unionByName(watch.completeness())
+
+
+@query(
+    "dqc5_one_pass",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS nulls, "
+        f"{R(f'CAST(count(*) - count({c}) AS DOUBLE) / count(*) * 100')} AS null_pct, "
+        f"count(*) FILTER (WHERE {c} < 0) AS negatives, {R(f'min({c})')} AS min, {R(f'max({c})')} AS max FROM feat"
+        for c in NUMBERS
+    ),
+)
+def _(t):
+    """Nulls, negatives and ranges of the number columns."""
+    watch = watched(t)
+    return watch.null_profile().join(watch.negatives(), "column").join(watch.value_ranges(), "column")

@@ -433,8 +433,7 @@ def _(t):
 TRAINING = [*schemas.FEATURES, schemas.TARGET]
 EXPORT_SQL = f"""SELECT {", ".join(f"{R(c)} AS {c}" for c in TRAINING)} FROM feat
 WHERE total_generation_mwh IS NOT NULL AND avg_temperature_f IS NOT NULL
-  AND oil_price_usd IS NOT NULL AND liquidity_need_millions IS NOT NULL
-ORDER BY feat.date DESC LIMIT 1000"""
+  AND oil_price_usd IS NOT NULL AND liquidity_need_millions IS NOT NULL"""
 
 
 @query("src12_read_training", EXPORT_SQL)
@@ -473,6 +472,18 @@ def _(t):
     return sinks.training_rows(t.features)
 
 
+@query(
+    "snk2_export_newest",
+    f"""SELECT {", ".join(f"{R(c)} AS {c}" for c in TRAINING)}
+FROM (SELECT date, total_generation_mwh, coalesce(avg_temperature_f, 60) AS avg_temperature_f,
+    coalesce(oil_price_usd, 50) AS oil_price_usd, industrial_production_index, avg_electricity_price,
+    liquidity_need_millions FROM feat) f ORDER BY f.date DESC LIMIT 1000""",
+)
+def _(t):
+    """The newest 1,000 training rows, of days with stand-ins for what is missing."""
+    return sinks.training_rows(t.features.fillna({"avg_temperature_f": 60.0, "oil_price_usd": 50.0}), n=1000)
+
+
 def _table_name(t, stem):
     return scratch_path(t.spark, stem).rsplit("/", 1)[-1].replace("-", "_")
 

@@ -38,7 +38,8 @@ def none(spark):
 @pytest.fixture
 def tables(spark, folder):
     """A folder with the odd documents, a benchmark, labels and embeddings."""
-    spark.createDataFrame(odd_documents(), DOCS).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    documents = spark.createDataFrame(odd_documents(), DOCS).selectExpr("*", "concat('s', doc_id % 3) AS source", "length(text) AS n_chars")
+    documents.repartition(3).write.parquet(f"{folder}/documents.parquet")
     body = odd_documents()[0][1]
     items = [(1, body[: body.index(" mail")], "x"), (2, "x", "short"), (3, None, None), (None, body, "y"), (4, "", "z")]
     spark.createDataFrame(items, "item_id long, text string, doc_id string").write.parquet(f"{folder}/benchmark.parquet")

@@ -212,6 +212,7 @@ def scan(documents: DataFrame, phrases: dict[str, str] | None = None, templates:
         sizes = [len(s) for _, s in named]
         automaton = Automaton([s for _, s in named], [min(least, n) for n in sizes])
         shortest = min(least, *sizes)
+        shortest_run = min([2, *sizes, *(len(key) for key, _ in keys)])
         for b in batches:
             at = b.num_columns - 1
             rows = []
@@ -222,7 +223,7 @@ def scan(documents: DataFrame, phrases: dict[str, str] | None = None, templates:
                     base, found, spans, best = [], set(), [], 0.0
                     edge = np.flatnonzero(np.diff(np.concatenate([[0], (x > 0).astype(np.int8), [0]])))
                     starts, ends = edge[::2], edge[1::2]
-                    long = ends - starts >= 2
+                    long = ends - starts >= shortest_run
                     matches = []
                     for s, e in zip(starts[long].tolist(), ends[long].tolist()):
                         tokens = x[s:e].tolist()

@@ -2,8 +2,9 @@
 find what the rules miss.
 
 Patterns and instances form a graph. A pattern's confidence is the mean trust in the instances
-that it finds, an instance's trust that of the patterns that find it; Spark computes both in
-turn, from all documents. Seeds are trusted fully, well-formed strangers not at all.
+that it finds; Spark computes both in turn, from all documents. Seeds are trusted fully, a
+stranger as much as the best pattern with another cue that finds it too: what a pattern says
+itself is no evidence for it.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +27,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 #: Candidates for further instances: tokens with two digits at least, or around an @.
 TOKEN = re.compile(r"[A-Za-z0-9+(@][A-Za-z0-9@._%+()-]*[A-Za-z0-9]")
-WORD_BEFORE = re.compile(r"(\S+)\s*\Z")
+TWO_DIGITS = re.compile(r"[0-9][^0-9]*[0-9]")
+#: Longer texts stand for themselves by their digest.
+LONG = 40
 
 
 def luhn(digits: str) -> bool:
@@ -79,13 +83,26 @@ def shape(value: str) -> str:
             j += 1
         out.append(k + (str(j - i) if k == "9" else "+" if j - i > 3 else ""))
         i = j
-    return "".join(out)[:48]
+    return brief("".join(out))
+
+
+def brief(value: str) -> str:
+    return value if len(value) <= LONG else f"#{len(value)}:{xxhash.xxh3_128_hexdigest(value.encode())}"
 
 
 def cue(text: str, start: int) -> str:
-    """Word before a place in lower case, punctuation kept, digits as 9; at a line's begin ^."""
-    m = WORD_BEFORE.search(text, max(0, start - 40), start)
-    return re.sub(r"[0-9]", "9", m[1].lower()) if m else "^"
+    """Letters and digits, then other marks, before a place: in lower case, digits as 9; at the
+    text's begin ^."""
+    end = start
+    while end and text[end - 1].isspace():
+        end -= 1
+    marks = end
+    while marks and not (text[marks - 1].isalnum() or text[marks - 1].isspace()):
+        marks -= 1
+    word = marks
+    while word and text[word - 1].isalnum():
+        word -= 1
+    return brief(re.sub(r"[0-9]", "9", text[word:end].lower())) or "^"
 
 
 def mentions(text: str) -> list[tuple[str | None, str, str, str, int, int]]:
@@ -96,7 +113,7 @@ def mentions(text: str) -> list[tuple[str | None, str, str, str, int, int]]:
         taken = sorted((a, b) for _, a, b in seeds)
         i = 0
         for m in TOKEN.finditer(text):
-            if sum(c in "0123456789" for c in m[0][:64]) < 2 and "@" not in m[0]:
+            if "@" not in m[0] and not TWO_DIGITS.search(m[0]):
                 continue
             while i < len(taken) and taken[i][1] <= m.start():
                 i += 1
@@ -115,7 +132,7 @@ def found_mentions(documents: DataFrame) -> DataFrame:
             seen: dict[tuple, int] = {}
             for text in b.column(0).to_pylist():
                 for kind, instance, before, form, _, _ in mentions(text):
-                    key = (kind, instance[:128], before[:40], form)
+                    key = (kind, brief(instance), before, form)
                     seen[key] = seen.get(key, 0) + 1
             rows = list(zip(*((*k, n) for k, n in seen.items()))) or [[]] * 5
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(rows, schema)], schema=schema)
@@ -128,7 +145,9 @@ def learned(documents: DataFrame, run: Run, rounds: int = 3, confidence: float =
     table with the best kind of each (cue, shape).
 
     A pattern is a kind with the word before it and the instance's shape, or with ``*`` for the
-    shape. It needs ``support`` different seeds as instances. Patterns that take in no stranger
+    shape. It needs ``support`` different seeds as instances. A stranger counts for a pattern with
+    the confidence of the best pattern of another cue that finds it (leave one out), with nothing
+    if there is none. Patterns that take in no stranger
     can find nothing in these documents and are left out; nothing else bounds their number.
     """
     edges = run.store(
@@ -146,9 +165,14 @@ def learned(documents: DataFrame, run: Run, rounds: int = 3, confidence: float =
     patterns = scored.groupBy("kind", "cue", "shape").agg(F.avg("trust").alias("confidence"))
     for _ in range(rounds):
         held = run.store(patterns, "patterns")
-        believed = graph.filter("own is null").join(held, ["kind", "cue", "shape"]).groupBy("kind", "instance").agg(F.max("confidence").alias("t"))
-        again = graph.join(believed, ["kind", "instance"], "left").select(
-            "kind", "cue", "shape", F.coalesce(trust, "t", F.lit(0.0)).alias("trust"))
+        believed = graph.filter("own is null").join(held, ["kind", "cue", "shape"]).groupBy("kind", "instance", "cue").agg(F.max("confidence").alias("t"))
+        believed = run.store(believed, "believed")
+        first = believed.groupBy("kind", "instance").agg(F.max(F.struct("t", "cue")).alias("top"))
+        rest = believed.join(first, ["kind", "instance"]).filter("cue <> top.cue").groupBy("kind", "instance").agg(F.max("t").alias("next"))
+        others = first.join(rest, ["kind", "instance"], "left")
+        other = F.when(F.col("cue") != F.col("top.cue"), F.col("top.t")).otherwise(F.col("next"))
+        again = graph.join(others, ["kind", "instance"], "left").select(
+            "kind", "cue", "shape", F.coalesce(trust, other, F.lit(0.0)).alias("trust"))
         patterns = again.groupBy("kind", "cue", "shape").agg(F.avg("trust").alias("confidence"))
     best = patterns.filter(F.col("confidence") >= confidence).groupBy("cue", "shape").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "kind")).alias("m"))
     return run.store(best.select("cue", "shape", "m.kind", (-F.col("m.c")).alias("confidence")), "learned")
@@ -168,7 +192,7 @@ def _found(rows: DataFrame, patterns: DataFrame, run: Run) -> DataFrame:
 
     def run_(batches):
         for b in batches:
-            out = [(i, c[:40], s, a, e) for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for k, _, c, s, a, e in mentions(text) if not k]
+            out = [(i, c, s, a, e) for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for k, _, c, s, a, e in mentions(text) if not k]
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(list(zip(*out)) or [[]] * 5, schema)], schema=schema)
 
     exact = patterns.filter("shape != '*'").select("cue", "shape", F.col("kind").alias("k1"))
@@ -209,7 +233,7 @@ def extract(documents: DataFrame, patterns: DataFrame | list[tuple[str, str, str
             base, found = [], []
             for text in b.column(b.num_columns - 1).to_pylist():
                 if known:
-                    all_ = [(k, i, c[:40], *x) for k, i, c, *x in mentions(text)]
+                    all_ = mentions(text)
                     base.append(named((k, a, e) for k, _, _, _, a, e in all_ if k))
                     more = ((known.get((c, s)) or known.get((c, "*")), a, e) for k, _, c, s, a, e in all_ if not k)
                     found.append(named(x for x in more if x[0]))
@@ -230,10 +254,12 @@ def joined(*lists: str):
 
 def redacted(documents: DataFrame, patterns: DataFrame | list[tuple[str, str, str]], run: Run | None = None) -> DataFrame:
     """``documents`` with every span replaced by its kind in angle brackets; overlapping spans
-    become one. Null stays null."""
-    df = extract(documents, patterns, run)
-    position = df.columns.index("text")
-    plain = documents.schema
+    become one. Null stays null. All columns stay as they are, whatever their names; repeated
+    rows and those without doc_id are treated like any others."""
+    position = documents.columns.index("text")
+    apart = documents.toDF(*["text" if i == position else f"__c{i}" for i in range(len(documents.columns))])
+    df = extract(apart, patterns, run)
+    plain = apart.schema
 
     def run(batches):
         for b in batches:
@@ -250,4 +276,4 @@ def redacted(documents: DataFrame, patterns: DataFrame | list[tuple[str, str, st
             columns[position] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, b.schema.names[:-2])
 
-    return df.mapInArrow(run, plain)
+    return df.mapInArrow(run, plain).toDF(*documents.columns)

@@ -32,7 +32,7 @@ def op2_token_store(spark, sf_dir):
 def op3_noisy_or_toxicity(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
-    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"), "sentences")
 
 
 def op4_bootstrapped_pii(spark, sf_dir):

@@ -15,12 +15,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents scored 0.5 or more by a model of the labels of ``sf_dir``."""
+    """Keeps documents scored 0.5 or more by a model of the labels of ``sf_dir``; rows that are
+    equal, or have no doc_id, are scored like any others."""
     weights = quality.train(docs.select("doc_id", "text"), _table(spark, sf_dir, "labels"))
-    held = "__score" if "score" in docs.columns else None  # an input column of that name stays
-    rows = docs.withColumnRenamed("score", held) if held else docs
-    kept = quality.score(rows, weights).filter("score >= 0.5").drop("score")
-    return (kept.withColumnRenamed(held, "score") if held else kept).select(*docs.columns)
+    # Columns by place: whatever their names, none meets that of the score.
+    text = docs.columns.index("text")
+    apart = docs.toDF(*["text" if i == text else f"c{i}" for i in range(len(docs.columns))])
+    return quality.score(apart, weights).filter("score >= 0.5").drop("score").toDF(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

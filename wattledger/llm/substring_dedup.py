@@ -184,14 +184,14 @@ def _hot_windows(docs: DataFrame, length: int, block: int, blocks: int, hot: np.
 
 
 def _hot_spans(windows: DataFrame, length: int) -> DataFrame:
-    """(row, a, b) as of ``_spans``, from stored hot windows: the minimum is combined before the
+    """(doc, row, a, b) as of ``_spans``, from stored hot windows: the minimum is combined before the
     shuffle, and adaptive execution splits a hash that many slices have."""
     place = F.struct("doc", "row", "first")
     firsts = windows.filter("h1 is not null").groupBy("h1", "h2").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     later = windows.join(firsts.select("h1", "h2", "least"), ["h1", "h2"]).filter(place != F.col("least"))
     # ``least`` is the earliest of the whole block; ranges found within a slice come as they are.
-    return later.select("row", "first", "last").union(windows.filter("h1 is null").select("row", "first", "last")).select(
-        "row", F.col("first").alias("a"), (F.col("last") + length).alias("b"))
+    return later.select("doc", "row", "first", "last").union(windows.filter("h1 is null").select("doc", "row", "first", "last")).select(
+        "doc", "row", F.col("first").alias("a"), (F.col("last") + length).alias("b"))
 
 
 def _words(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -262,17 +262,27 @@ def repeated_windows(fp, doc, row, first, last, lead, contexts: list[bytes], len
 
 
 def _spans(contexts: DataFrame, length: int, chunk: int = 8 << 20) -> DataFrame:
-    """(row, a, b): byte ranges whose strings of ``length`` bytes all occur earlier."""
-    schema, spark_schema = arrow({"row": pa.int64(), "a": pa.int64(), "b": pa.int64()})
+    """(doc, row, a, b): byte ranges whose strings of ``length`` bytes all occur earlier."""
+    schema, spark_schema = arrow({"doc": pa.int64(), "row": pa.int64(), "a": pa.int64(), "b": pa.int64()})
 
     def bucket(table):
+        # Of runs with equal bytes and one anchor place only the earliest is sorted: all windows
+        # of the others are equal to its own.
+        codes = table["context"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        earliest = np.zeros(len(codes), bool)
+        earliest[np.unique(codes << 32 | table["lead"].to_numpy(), return_index=True)[1]] = True
+        doc, row, first, last = (table[c].to_numpy() for c in ("doc", "row", "first", "last"))
+        known = np.flatnonzero(~earliest)
+        if len(known):
+            yield pa.record_batch([pa.array(doc[known]), pa.array(row[known]), pa.array(first[known]), pa.array(last[known] + length)], schema=schema)
+        table = table.filter(pa.array(earliest))
         fp, doc, row, first, last = (table[c].to_numpy() for c in ("fp", "doc", "row", "first", "last"))
         got = repeated_windows(fp, doc, row, first, last, table["lead"].to_numpy().astype(np.int64), table["context"].to_pylist(), length)
         if len(got):
             got = got[np.lexsort((got[:, 1], got[:, 0]))]
             new = np.append(True, (np.diff(got[:, 0]) != 0) | (np.diff(got[:, 1]) != 1))
             a, e = got[np.flatnonzero(new)], got[np.append(np.flatnonzero(new)[1:], len(got)) - 1]
-            yield pa.record_batch([pa.array(row[a[:, 0]]), pa.array(first[a[:, 0]] + a[:, 1]), pa.array(first[e[:, 0]] + e[:, 1] + length)], schema=schema)
+            yield pa.record_batch([pa.array(doc[a[:, 0]]), pa.array(row[a[:, 0]]), pa.array(first[a[:, 0]] + a[:, 1]), pa.array(first[e[:, 0]] + e[:, 1] + length)], schema=schema)
 
     def run(batches):
         rest, size = [], 0
@@ -281,7 +291,7 @@ def _spans(contexts: DataFrame, length: int, chunk: int = 8 << 20) -> DataFrame:
             known = pa.compute.is_null(t["context"])
             done = t.filter(known)
             if done.num_rows:
-                yield from pa.table([done["row"], done["first"], pa.compute.add(done["last"], length)], schema=schema).to_batches()
+                yield from pa.table([done["doc"], done["row"], done["first"], pa.compute.add(done["last"], length)], schema=schema).to_batches()
             t = t.filter(pa.compute.invert(known))
             rest.append(t)
             size += t.nbytes
@@ -300,22 +310,38 @@ def _spans(contexts: DataFrame, length: int, chunk: int = 8 << 20) -> DataFrame:
     return contexts.mapInArrow(run, spark_schema)
 
 
-def without_repeats(documents: DataFrame, run: Run, length: int = 100, block_bytes: int = 16 << 30, hot_runs: int = 1000) -> DataFrame:
+def _distinct(rows: DataFrame, run: Run) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` with each (doc, row) once, and a stored table (doc, row, copies) of those that stand
+    more than once, None where none does. Only names are grouped; few texts are."""
+    named = rows.groupBy("doc", "row").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    copies = run.store(named, "copies")
+    if copies.isEmpty():
+        return rows, None
+    keys = copies.select("doc", "row")
+    once = rows.join(keys, ["doc", "row"], "left_semi").dropDuplicates(["doc", "row"])
+    return rows.join(keys, ["doc", "row"], "left_anti").select("doc", "row", "t").union(once.select("doc", "row", "t")), copies
+
+
+def without_repeats(documents: DataFrame, run: Run, length: int = 100, block_bytes: int = 16 << 30, hot_runs: int = 20_000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (bytes) of every row.
 
     A byte goes if a string of ``length`` bytes (92 at least) that covers it also starts earlier:
     in a smaller doc_id, or in the same row further left. Rows with one doc_id are in the order
-    in which they are read; those without doc_id come first. Null counts as empty.
+    of a hash of their texts, and of equal rows one counts as the first; those without doc_id
+    come first of all. Null counts as empty. A row is named by its doc_id and that hash in every
+    job, so it doesn't matter how files are split in any of them.
 
     Anchor strings are dealt to blocks by hash, ``block_bytes`` of text to a block, and blocks
     are worked on one after the other: that bounds the filter of repeated anchors, which every
     task holds. The runs of one anchor string meet in one task if there are ``hot_runs`` at
-    most; the windows of the others are grouped by hash (of those anchors a block has one per
-    ``hot_runs`` runs at most, so all tasks can hold the list).
+    most, which bounds the windows that it sorts at once; the windows of the others are grouped
+    by hash (of those anchors a block has one per ``hot_runs`` runs at most, so all tasks can
+    hold the list).
     """
     if length < 92:
         raise ValueError("length must be 92 at least")
-    docs = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), F.monotonically_increasing_id().alias("row"), utf8().alias("t"))
+    rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), utf8().alias("t"))
+    docs, copies = _distinct(rows.select("doc", F.xxhash64("t").alias("row"), "t"), run)
     total = docs.agg(F.sum(F.length("t"))).collect()[0][0] or 0
     blocks = max(1, -(-total // block_bytes))
     shares = int(run.spark.conf.get("spark.sql.shuffle.partitions"))
@@ -336,8 +362,14 @@ def without_repeats(documents: DataFrame, run: Run, length: int = 100, block_byt
     for s in spans[1:]:
         all_spans = all_spans.union(s)
     # Neighbouring ranges are merged per row before the texts come in.
-    grouped = all_spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans"))
-    joined = docs.join(grouped, "row", "left").select(F.when(F.col("doc") > -(1 << 63), F.col("doc")).alias("doc_id"), "t", F.col("spans.a").alias("a"), F.col("spans.b").alias("b"))
+    grouped = all_spans.groupBy("doc", "row").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans"))
+    joined = docs.join(grouped, ["doc", "row"], "left")
+    if copies is not None:  # every string of a further copy stands in the first one
+        n = F.length("t").cast("long")
+        whole = F.when(n >= length, F.array(F.struct(F.lit(0).cast("long").alias("a"), n.alias("b")))).otherwise(F.expr("cast(array() as array<struct<a: bigint, b: bigint>>)"))
+        further = docs.join(copies, ["doc", "row"]).withColumn("k", F.explode(F.sequence(F.lit(2), "copies")))
+        joined = joined.select("doc", "row", "t", "spans").union(further.select("doc", "row", "t", whole.alias("spans")))
+    joined = joined.select(F.when(F.col("doc") > -(1 << 63), F.col("doc")).alias("doc_id"), "t", F.col("spans.a").alias("a"), F.col("spans.b").alias("b"))
     schema, spark_schema = arrow({"doc_id": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept": pa.binary()})
 
     def cut(batches):

@@ -50,7 +50,7 @@ def encoding_of(path: str) -> tiktoken.Encoding:
 class Block:
     """Distinct pre-tokens in order of appearance and every text's sequence of their numbers."""
 
-    def __init__(self, most: int = 200_000):
+    def __init__(self, most: int = 100_000):
         self.pattern = regex.compile(PATTERN)
         self.cuts: dict[str, tuple] = {}
         self.most = most
@@ -130,13 +130,14 @@ def _blocks(docs: DataFrame, block_bytes: int, buckets: int | None) -> DataFrame
     return docs.mapInArrow(run, spark_schema)
 
 
-def encode(documents: DataFrame, ranks_path: str, block_bytes: int = 4 << 20) -> DataFrame:
-    """(row, doc_id, ids) of every row; ids are little-endian unsigned 32-bit numbers.
+def encode(documents: DataFrame, ranks_path: str, block_bytes: int = 4 << 20, decoded: bool = False) -> DataFrame:
+    """(row, doc_id, ids) of every row; ids are little-endian unsigned 32-bit numbers. With
+    ``decoded`` also ``bytes``, what ``decode`` makes of the ids, by the same task.
 
     Each match of the pattern is encoded by itself, without special tokens. Null and empty
     texts have no ids. ``row`` numbers the input's rows; a doc_id may be null or repeated.
-    A task that owns words holds the distinct ones of its share: the number of shares follows
-    that of the input's partitions.
+    A task that owns words holds some of the distinct ones of its share: there are two shares for
+    each partition of the input, 128 at least.
     """
     ship(documents.sparkSession)
     docs = documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("t"))
@@ -156,16 +157,18 @@ def encode(documents: DataFrame, ranks_path: str, block_bytes: int = 4 << 20) ->
                     word = data[a:e]
                     got = known.get(word)
                     if got is None:
+                        if len(known) >= 200_000:
+                            known.clear()
                         got = known[word] = np.array(encoding._encode_single_piece(word), np.uint32).tobytes()
                     ids.append(got)
                 for column, value in zip(out, (block, 1, *packed(ids), numbers)):
                     column.append(value)
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
 
-    words = _blocks(docs, block_bytes, buckets).repartition("bucket").mapInArrow(words_to_ids, spark_schema)
+    words = _blocks(docs, block_bytes, buckets).repartition(buckets, "bucket").mapInArrow(words_to_ids, spark_schema)
     places = _blocks(docs, block_bytes, None).select("block", F.lit(0).alias("kind"), "data", "sizes", "numbers")
     both = places.union(words).repartition("block").sortWithinPartitions("block", "kind")
-    out_schema, out_spark = arrow({"row": pa.int64(), "doc_id": pa.int64(), "ids": pa.binary()})
+    out_schema, out_spark = arrow({"row": pa.int64(), "doc_id": pa.int64(), "ids": pa.binary(), **({"bytes": pa.binary()} if decoded else {})})
 
     def assemble(head, parts):
         ids, sizes, data = head
@@ -182,7 +185,8 @@ def encode(documents: DataFrame, ranks_path: str, block_bytes: int = 4 << 20) ->
             x = sequence[a:e]
             texts.append(flat[spread(starts[x], lengths[x])].tobytes())
         doc = pa.array(ids[1], mask=ids[1] == -(1 << 63))
-        return pa.record_batch([pa.array(ids[0]), doc, pa.array(texts, pa.binary())], schema=out_schema)
+        back = [pa.array(_joined(texts, token_bytes(ranks_path)), pa.binary())] if decoded else []
+        return pa.record_batch([pa.array(ids[0]), doc, pa.array(texts, pa.binary()), *back], schema=out_schema)
 
     def together(batches):
         head, parts, now = None, [], None
@@ -211,6 +215,10 @@ def token_bytes(ranks_path: str) -> list[bytes]:
     return table
 
 
+def _joined(ids: list[bytes | None], table: list[bytes]) -> list[bytes | None]:
+    return [None if x is None else b"".join(map(table.__getitem__, np.frombuffer(x, np.uint32).tolist())) for x in ids]
+
+
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """The columns of ``encoded`` and ``bytes``: every id's bytes, in order, from the table of
     the vocabulary's tokens (of fixed size, read once by each worker)."""
@@ -222,8 +230,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     def run(batches):
         table = token_bytes(ranks_path)
         for b in batches:
-            ids = b.column(b.num_columns - 1).to_pylist()
-            out = [None if x is None else b"".join(map(table.__getitem__, np.frombuffer(x, np.uint32).tolist())) for x in ids]
+            out = _joined(b.column(b.num_columns - 1).to_pylist(), table)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], [*b.schema.names, "bytes"])
 
     return df.mapInArrow(run, schema)

@@ -81,7 +81,7 @@ def _sketches(docs: DataFrame, size: int) -> DataFrame:
         hashes = Hashes()
         for b in batches:
             ids = b.column(0).to_pylist()
-            for first, texts in slices(b, 1):
+            for first, texts in slices(b, 1, 2 << 20):
                 sets = [shingles(t.lower().split(), hashes, size) for t in texts]
                 full = [i for i, s in enumerate(sets) if len(s)]
                 digest, bands, low = [None] * len(sets), [None] * len(sets), [None] * len(sets)
@@ -207,7 +207,7 @@ def _crossing(buckets: DataFrame, reps: DataFrame, labels: DataFrame, sets: Data
     def confirmed(x: pa.Table) -> pa.Table:
         p, q, n = _probable(x, percent)
         rep, c = x["rep"].to_numpy(), x["c"].to_pylist()
-        data = x["set"].to_pylist()
+        data = x["set"].combine_chunks()  # read in place, set by set
         parent = {v: v for v in c}
 
         def top(v):
@@ -219,7 +219,7 @@ def _crossing(buckets: DataFrame, reps: DataFrame, labels: DataFrame, sets: Data
         for k in np.argsort(-n, kind="stable"):
             a, b = int(p[k]), int(q[k])
             u, v = top(c[a]), top(c[b])
-            if u != v and _linked(np.frombuffer(data[a], np.uint64), np.frombuffer(data[b], np.uint64), percent):
+            if u != v and _linked(np.frombuffer(data[a].as_buffer(), np.uint64), np.frombuffer(data[b].as_buffer(), np.uint64), percent):
                 parent[u] = v
                 out[0].append(int(min(rep[a], rep[b])))
                 out[1].append(int(max(rep[a], rep[b])))

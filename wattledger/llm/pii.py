@@ -203,6 +203,15 @@ def _found(rows: DataFrame, patterns: DataFrame, run: Run) -> DataFrame:
     return run.store(spans.select("__key", F.transform("f", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("found")), "found")
 
 
+def _with_found(documents: DataFrame, patterns: DataFrame, run: Run | None) -> DataFrame:
+    """``documents`` (without a column ``found``) and ``found``, what the patterns find in each text."""
+    key = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    rows = documents.withColumn("__key", key)
+    hits = _found(rows.select("__key", F.coalesce("text", F.lit("")).alias("__text")), patterns, run or Run(documents.sparkSession, "pii"))
+    none = F.array().cast(hits.schema["found"].dataType)
+    return rows.join(hits, "__key", "left").select(*documents.columns, F.coalesce("found", none).alias("found"))
+
+
 def extract(documents: DataFrame, patterns: DataFrame | list[tuple[str, str, str]], run: Run | None = None) -> DataFrame:
     """The columns of ``documents`` and ``base`` and ``found``: lists of (kind, start, end) in
     code points, ends exclusive, by the fixed rules and by the patterns; both empty for null.
@@ -215,11 +224,8 @@ def extract(documents: DataFrame, patterns: DataFrame | list[tuple[str, str, str
         if patterns.isEmpty():
             return extract(documents, [])
         rest = [c for c in documents.columns if c.lower() not in ("base", "found")]
-        rows = documents.select(*rest, F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("__key"))
-        hits = _found(rows.select("__key", F.coalesce("text", F.lit("")).alias("__text")), patterns, run or Run(documents.sparkSession, "pii"))
-        based = extract(rows, []).drop("found").join(hits, "__key", "left")
-        none = F.array().cast(hits.schema["found"].dataType)
-        return based.select(*rest, "base", F.coalesce("found", none).alias("found"))
+        rows = _with_found(documents.select(*rest), patterns, run).withColumnRenamed("found", "__found")
+        return extract(rows, []).select(*rest, "base", F.col("__found").alias("found"))
     rest = [c for c in documents.columns if c.lower() not in ("base", "found")]
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
     spark_span = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
@@ -258,22 +264,32 @@ def redacted(documents: DataFrame, patterns: DataFrame | list[tuple[str, str, st
     rows and those without doc_id are treated like any others."""
     position = documents.columns.index("text")
     apart = documents.toDF(*["text" if i == position else f"__c{i}" for i in range(len(documents.columns))])
-    df = extract(apart, patterns, run)
     plain = apart.schema
+    ship(documents.sparkSession)
+    known: dict[tuple[str, str], str] = {}
+    if isinstance(patterns, DataFrame) and not patterns.isEmpty():
+        df = _with_found(apart, patterns, run)
+    else:
+        known = {} if isinstance(patterns, DataFrame) else {(c, s): k for k, c, s in reversed(patterns)}
+        df = apart.withColumn("found", F.lit(None).cast("array<struct<kind: string, start: bigint, end: bigint>>"))
 
     def run(batches):
         for b in batches:
             out = []
-            for text, base, found in zip(b.column(position).to_pylist(), b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
-                spans = sorted((s["start"], s["end"], s["kind"]) for s in [*base, *found])
+            for text, found in zip(b.column(position).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
+                if known:
+                    named = ((k or known.get((c, s)) or known.get((c, "*")), x, y) for k, _, c, s, x, y in mentions(text or ""))
+                    spans = sorted((x, y, k) for k, x, y in named if k)
+                else:
+                    spans = sorted([*((x, y, k) for k, x, y in base_spans(text or "")), *((s["start"], s["end"], s["kind"]) for s in found or ())])
                 parts, last = [], 0
                 for a, e, kind in spans:
                     if a >= last:
                         parts += [text[last:a], f"<{kind}>"]
                     last = max(last, e)
                 out.append(text if not spans else "".join([*parts, text[last:]]))
-            columns = [*b.columns[:-2]]
+            columns = [*b.columns[:-1]]
             columns[position] = pa.array(out, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, b.schema.names[:-2])
+            yield pa.RecordBatch.from_arrays(columns, b.schema.names[:-1])
 
     return df.mapInArrow(run, plain).toDF(*documents.columns)

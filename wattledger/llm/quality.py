@@ -174,7 +174,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality", rows:
         words = Words()
         for b in batches:
             ids, ys = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for first, texts in slices(b, 2):
+            for first, texts in slices(b, 2, 2 << 20):
                 f, starts = features(texts, words)
                 at = []
                 for part in np.split(f, starts[1:]):
@@ -218,7 +218,7 @@ def score(documents: DataFrame, weights: np.ndarray) -> DataFrame:
         for b in batches:
             at = b.num_columns - 1
             out = np.empty(b.num_rows)
-            for first, texts in slices(b, at):
+            for first, texts in slices(b, at, 2 << 20):
                 f, starts = features(texts, words)
                 sums = np.add.reduceat(w[f], starts, dtype=np.float64)
                 sizes = np.diff(np.append(starts, len(f)))

@@ -44,7 +44,7 @@ def op4_bootstrapped_pii(spark, sf_dir):
 
 def op5_byte_level_bpe(spark, sf_dir):
     docs, path = _table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken")
-    decoded = byte_bpe.decode(byte_bpe.encode(docs, path), path)
+    decoded = byte_bpe.encode(docs, path, decoded=True)
     return decoded.select(
         "doc_id", F.expr("cast(length(ids) div 4 as long)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))

@@ -51,8 +51,7 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and the digest of the decoded bytes, for every document."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = byte_bpe.encode(docs.select("doc_id", "text"), path)
-    decoded = byte_bpe.decode(encoded, path)
+    decoded = byte_bpe.encode(docs.select("doc_id", "text"), path, decoded=True)
     return decoded.select("doc_id", F.expr("cast(length(ids) div 4 as long)").alias("n_tokens"), "ids", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 

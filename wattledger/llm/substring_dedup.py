@@ -24,6 +24,8 @@ from wattledger.llm.byte_bpe import spread
 from wattledger.llm.common import Bloom, Run, arrow, mixed, slices, utf8
 
 GRAM, STEP = 50, 32
+#: Bytes of text that a task works on at once; its arrays take some sixty times as much.
+SLICE = 2 << 20
 
 
 def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
@@ -88,7 +90,7 @@ def _anchor_prints(docs: DataFrame, length: int, block: int, blocks: int) -> Dat
 
     def run(batches):
         for b in batches:
-            for _, texts in slices(b, 2):
+            for _, texts in slices(b, 2, SLICE):
                 fp, n = np.unique(Slice(texts, length, block, blocks).fp.view(np.int64), return_counts=True)
                 yield pa.record_batch([pa.array(fp), pa.array(n)], schema=schema)
 
@@ -116,7 +118,7 @@ def _contexts(docs: DataFrame, length: int, block: int, blocks: int, bloom: Bloo
         filt = Bloom(words)
         for b in batches:
             ids, rows = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for base, texts in slices(b, 2):
+            for base, texts in slices(b, 2, SLICE):
                 s = Slice(texts, length, block, blocks)
                 some = np.flatnonzero(filt.has(s.fp) & ~_member(s.fp.view(np.int64), hot))
                 if not len(some):
@@ -150,7 +152,7 @@ def _hot_windows(docs: DataFrame, length: int, block: int, blocks: int, hot: np.
     def run(batches):
         for b in batches:
             ids, rows = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for base, texts in slices(b, 2):
+            for base, texts in slices(b, 2, SLICE):
                 s = Slice(texts, length, block, blocks)
                 some = np.flatnonzero(_member(s.fp.view(np.int64), sent.value))
                 if not len(some):
@@ -261,7 +263,7 @@ def repeated_windows(fp, doc, row, first, last, lead, contexts: list[bytes], len
     return np.stack([run[later], nth[later]], 1)
 
 
-def _spans(contexts: DataFrame, length: int, chunk: int = 8 << 20) -> DataFrame:
+def _spans(contexts: DataFrame, length: int, chunk: int = 4 << 20) -> DataFrame:
     """(doc, row, a, b): byte ranges whose strings of ``length`` bytes all occur earlier."""
     schema, spark_schema = arrow({"doc": pa.int64(), "row": pa.int64(), "a": pa.int64(), "b": pa.int64()})
 

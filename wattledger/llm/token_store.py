@@ -34,17 +34,6 @@ from wattledger.llm.common import Run, arrow, ship, slices
 BORDER, UNSAFE = re.compile(r" (?=\S)"), re.compile(r" (?:\s|\Z)")
 
 
-class _Both(dict):
-    """What is known for good, then what this slice needs besides."""
-
-    def __init__(self, known: dict, found: dict):
-        super().__init__(found)
-        self.known = known
-
-    def __missing__(self, piece: str) -> bytes:
-        return self.known[piece]
-
-
 class Encoder:
     """Ids of whole texts by the tokenizers library, each distinct piece encoded once.
 
@@ -74,7 +63,9 @@ class Encoder:
         if len(known) < self.most:
             known.update(found)
             return known
-        return _Both(known, found)
+        wanted.difference_update(found)
+        found.update(zip(wanted, map(known.__getitem__, wanted)))
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, ``width`` bytes each."""

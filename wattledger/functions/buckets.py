@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from wattledger.functions.scalars import contains_any
 from wattledger.settings import RENEWABLE_FUELS
 
+# The labels and cuts below are those that reports and results are compared by.
+
 
 def ladder(value: Column, cuts: Sequence[float], labels: Sequence[str]) -> Column:
     """``labels[i]`` for the first cut with value ≤ cuts[i], else the last label."""

@@ -19,6 +19,7 @@ def _struct(*fields: tuple) -> StructType:
     return StructType([StructField(n, t, nullable) for n, t, nullable in fields])
 
 
+# Names, types and order of the tables' columns and of the payloads' fields.
 RAW_GENERATION = _struct(
     ("date", DateType(), False),
     ("fuel_type", StringType(), False),

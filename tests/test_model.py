@@ -158,3 +158,7 @@ def test_daily_run(spark, folder):
     assert published["executive_kpis"].count() == 1
     assert published["daily_generation_by_fuel"].count() == 240
     assert published["current_status"].count() == 3
+    dashboard = rows(published["daily_energy_dashboard"])
+    for _ in range(2):  # a repeated run replaces the copies in buckets
+        _, kept = daily_run.run(spark, landing, store, as_of, buckets=4)
+        assert rows(kept["daily_energy_dashboard"]) == dashboard and len(dashboard) == 60

@@ -28,6 +28,20 @@ def left_join_feed(
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
+def left_join_parts(daily: DataFrame, *parts: DataFrame, on: str = "date") -> DataFrame:
+    """LEFT join of a one-row-per-day table to a feed that is kept in parts (``by_date``).
+
+    Every part is joined as it lies: what shares the buckets of ``daily`` moves no row, and
+    the spread rows of hot dates are met by the daily rows, broadcast or split by adaptive
+    execution. A day is unmatched if no part has it.
+    """
+    matched = reduce(DataFrame.unionByName, [daily.join(p, on, "inner") for p in parts])
+    unmatched = daily
+    for part in parts:
+        unmatched = unmatched.join(part.select(on).distinct(), on, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
 def left_chain(base: DataFrame, *others: DataFrame, on: str = "date") -> DataFrame:
     """LEFT join chain of frames that hold at most one row per key."""
     return reduce(lambda left, right: left.join(right, on, "left"), others, base)

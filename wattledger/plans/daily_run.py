@@ -14,7 +14,7 @@ from wattledger.plans import features as feats
 from wattledger.plans import incremental_features
 from wattledger.plans import model as ml
 from wattledger.plans import views
-from wattledger.sources import commits, payloads, sinks
+from wattledger.sources import by_date, commits, payloads, sinks
 from wattledger.streaming import incremental
 
 RAW = ["raw_eia_data", "raw_weather_data", "raw_economic_data", "raw_price_data"]
@@ -102,6 +102,13 @@ def train_and_forecast(
     return model, table(spark, store, "ml_predictions")
 
 
+def kept_by_date(spark: SparkSession, df: DataFrame, store: str, name: str, as_of, buckets: int) -> DataFrame:
+    """The run's copy of a daily table in date buckets; a repeated run replaces its own."""
+    folder = f"{store}/_by_date/{name}/{as_of}"
+    by_date.replace(df, folder, buckets=buckets)
+    return by_date.read(spark, folder, df.schema).cool
+
+
 def publish(
     features: DataFrame, predictions: DataFrame, generation: DataFrame, weather: DataFrame, as_of
 ):
@@ -124,10 +131,11 @@ def publish(
 
 def run(
     spark: SparkSession, landing: str, store: str, as_of, model_type="linear_regression",
-    clean: str | None = None, archive: str | None = None, **weights
+    clean: str | None = None, archive: str | None = None, buckets: int | None = None, **weights
 ):
     """One day's run. ``clean`` and ``archive`` say what becomes of consumed files, as in
-    ``incremental.csv_stream``; ``weights`` are those of the target."""
+    ``incremental.csv_stream``; ``weights`` are those of the target. With ``buckets`` the views
+    read features and predictions from copies kept in so many date buckets."""
     ingest(spark, landing, store, clean, archive)
     features = build_features(spark, store, **weights)
     watch = quality.Watch(features, as_of)
@@ -135,4 +143,7 @@ def run(
     model, predictions = train_and_forecast(spark, features, as_of, store, model_type)
     save_checks(features, predictions, as_of, store, watch)
     generation, weather = (table(spark, store, t) for t in ("raw_eia_data", "raw_weather_data"))
+    if buckets is not None:
+        features = kept_by_date(spark, features, store, "ml_features", as_of, buckets)
+        predictions = kept_by_date(spark, predictions, store, "ml_predictions", as_of, buckets)
     return model, publish(features, predictions, generation, weather, as_of)

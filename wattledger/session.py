@@ -17,6 +17,8 @@ def build_session(app: str = "wattledger", master: str | None = None, **conf) ->
     builder = (
         builder.config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # A table kept in date buckets is not dealt anew for a join on the date and more.
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         # Call-site capture per column expression; costs driver time on wide plans.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

@@ -77,6 +77,9 @@ FOREST_DEPTH = 10
 FORECAST_DAYS = 7
 CONFIDENCE_Z = 1.96
 
+# Buckets of a table that is kept by date.
+DATE_BUCKETS = 64
+
 # Data-quality and monitoring thresholds.
 MIN_ROWS = 30
 MAX_ROWS = 10000

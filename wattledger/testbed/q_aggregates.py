@@ -738,22 +738,24 @@ def _(t):
 E3 = f"abs(mf.{LIQ} - mp.{PRED})"
 
 
-@query(
-    "vw1_daily_energy_dashboard",
-    f"""SELECT mf.date, {R('mf.total_generation_mwh')} AS total_generation_mwh,
+DASHBOARD_SQL = f"""SELECT mf.date, {R('mf.total_generation_mwh')} AS total_generation_mwh,
   {R('mf.avg_temperature_f')} AS avg_temperature_f, {R('mf.avg_electricity_price')}
     AS avg_electricity_price, {R('mf.' + LIQ)} AS actual_liquidity, {R('mp.' + PRED)} AS {PRED},
   {R(E3)} AS prediction_error_millions,
   CASE WHEN mp.{PRED} IS NULL THEN 'No Prediction' WHEN {E3} <= 10 THEN 'Accurate'
     WHEN {E3} <= 25 THEN 'Acceptable' ELSE 'Poor' END AS prediction_quality
-FROM {JN3_FROM}""",
-)
+FROM {JN3_FROM}"""
+
+
+@query("vw1_daily_energy_dashboard", DASHBOARD_SQL)
 def _(t):
+    t = t.with_stored_features()
     return views.daily_energy_dashboard(t.features, t.predictions)
 
 
 @query("vw2_weekly_summary", WEEKLY_SQL)
 def _(t):
+    t = t.with_stored_features()
     return views.weekly_summary(t.features, t.predictions)
 
 
@@ -778,6 +780,7 @@ CROSS JOIN (SELECT avg({ERR}) AS avg_error, count(*) AS prediction_count
       FROM feat JOIN pred USING (date) WHERE date >= {D} - 7)""",
 )
 def _(t):
+    t = t.with_stored_features()
     return views.executive_kpis(t.features, t.predictions, AS_OF)
 
 

@@ -631,17 +631,17 @@ def _(t):
     )
 
 
-@query(
-    "jn2_left_chain",
-    f"""SELECT date, {R('total_generation_mwh')} AS total_generation_mwh,
+CHAIN_SQL = f"""SELECT date, {R('total_generation_mwh')} AS total_generation_mwh,
   {R('avg_temperature_f')} AS avg_temperature_f, {R('avg_electricity_price')}
     AS avg_electricity_price
 FROM (SELECT date, sum(generation_mwh) AS total_generation_mwh FROM gen GROUP BY date)
 LEFT JOIN (SELECT date, avg(temperature_f) AS avg_temperature_f FROM wx GROUP BY date)
   USING (date)
 LEFT JOIN (SELECT date, avg(price_per_mwh) AS avg_electricity_price FROM price GROUP BY date)
-  USING (date)""",
-)
+  USING (date)"""
+
+
+@query("jn2_left_chain", CHAIN_SQL)
 def _(t):
     return jn.left_chain(
         ag.daily_generation(t.generation),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wattledger.functions import scalars
 from wattledger.plans import features as feats
+from wattledger.session import materialize
 
 # Last day of the data. Events and orders are moved by whole days so that they end there too.
 AS_OF = "2001-11-04"
@@ -178,6 +179,12 @@ class Tables:
     def features(self) -> DataFrame:
         return self._features(feats.ml_features)
 
+    def with_stored_features(self) -> Tables:
+        """The same tables with the features written first, as the daily run has them."""
+        other = Tables(self.spark, self.folder)
+        other.features = materialize(self.features, "features")
+        return other
+
     @cached_property
     def features_fan_out(self) -> DataFrame:
         return self._features(feats.ml_features_fan_out)

@@ -64,11 +64,18 @@ def _(t):
 
 @query(
     "flt5_drop_incomplete",
-    f"SELECT date, {R('oil_price_usd')} AS oil_price_usd, {R('avg_electricity_price')} AS avg_electricity_price "
+    f"SELECT 'all' AS required, {FEAT_SQL} FROM feat WHERE avg_temperature_f IS NOT NULL "
+    "AND oil_price_usd IS NOT NULL AND industrial_production_index IS NOT NULL "
+    "AND ca_unemployment_rate IS NOT NULL AND avg_electricity_price IS NOT NULL "
+    f"UNION ALL SELECT 'prices', date, NULL, NULL, {R('oil_price_usd')}, NULL, NULL, {R('avg_electricity_price')}, NULL "
     "FROM feat WHERE oil_price_usd IS NOT NULL AND avg_electricity_price IS NOT NULL",
 )
 def _(t):
-    return fl.drop_incomplete(t.features.select("date", "oil_price_usd", "avg_electricity_price"))
+    """Feature days that are complete, and those complete in both prices (small tables have some)."""
+    prices = t.features.select("date", "oil_price_usd", "avg_electricity_price")
+    parts = {"all": fl.drop_incomplete(t.features), "prices": fl.drop_incomplete(prices)}
+    whole, priced = [df.select(F.lit(name).alias("required"), "*") for name, df in parts.items()]
+    return whole.unionByName(priced, allowMissingColumns=True)
 
 
 @query(

@@ -6,6 +6,9 @@ in the session's shared folder, and are read from there, as other files are.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from itertools import groupby
+
 from pyspark.sql import functions as F
 
 from wattledger import schemas
@@ -28,23 +31,50 @@ RUN = AS_OF
 PAGE = 1000
 
 
+#: Responses that one task writes, about: creating a file costs more than its bytes.
+WRITTEN = 100
+#: Files renamed at a time; each waits for the file system.
+MOVES = 8
+
+
+def tasks_for(t, responses):
+    """Tasks for so many responses, so that no task has many more files than another."""
+    return max(t.spark.sparkContext.defaultParallelism, responses // WRITTEN)
+
+
 def landed_json(t, responses, name=None, text=False):
-    """One file for each row of ``responses``; named ``<name>_<number>.json`` if it has a ``name``
-    column. Returns the folder."""
+    """One file for each row of ``responses``, written by as many tasks as that has partitions;
+    named ``<name>_<number>.json`` if it has a ``name`` column. Returns the folder."""
     path = scratch_path(t.spark, "responses")
+    written = scratch_path(t.spark, "written") if name else path
     writer = responses.write.option("maxRecordsPerFile", 1)
     writer = writer.partitionBy(name) if name else writer
-    (writer.text if text else writer.json)(path)
+    (writer.text if text else writer.json)(written)
     if name:
-        _, fs = commits.located(t.spark, path)
-        for folder in commits.names(t.spark, path):
-            for i, file in enumerate(n for n in commits.names(t.spark, f"{path}/{folder}") if n.startswith("part-")):
-                source, _ = commits.located(t.spark, f"{path}/{folder}/{file}")
-                place, _ = commits.located(t.spark, f"{path}/{folder.partition('=')[2]}_{i}.json")
-                assert fs.rename(source, place)
+        renamed(t, written, path)
     return path
 
 
+def renamed(t, written, path):
+    """Move the files of ``<column>=<name>`` folders in ``written`` to ``<path>/<name>_<number>.json``."""
+    _, fs = commits.located(t.spark, path)
+    jvm = t.spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(place(path))
+    paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.globStatus(place(f"{written}/*/part-*")))
+    found = sorted((p.toString(), p) for p in paths)
+    moves = []
+    for folder, files_of in groupby(found, lambda f: f[0].rpartition("/")[0].rpartition("/")[2]):
+        moves += [(f, f"{path}/{folder.partition('=')[2]}_{i}.json") for i, (_, f) in enumerate(files_of)]
+
+    def move(pair):
+        if not fs.rename(pair[0], place(pair[1])):
+            raise OSError(f"cannot move {pair[0].toString()} to {pair[1]}")
+
+    with ThreadPoolExecutor(MOVES) as pool:
+        list(pool.map(move, moves))
+
+
 # ---- payloads ---------------------------------------------------------------------------
 
 
@@ -248,7 +278,9 @@ def _(t):
     "FROM (SELECT DISTINCT o_orderkey // 250 AS page FROM orders)",
 )
 def _(t):
-    pages = t.source("orders").select(F.expr("o_orderkey div 250").alias("page")).distinct()
+    orders = t.source("orders")
+    pages = orders.select(F.expr("o_orderkey div 250").alias("page")).distinct()
+    pages = pages.repartition(tasks_for(t, orders.count() // 250))  # not by page: an equal exchange is merged
     folder = landed_json(t, pages.select("page", texts_of(col("page") % 4).alias("value")), "page", text=True)
     page = payloads.series_of_file(col("source_file")).cast("long").alias("page")
     return payloads.validate_files(t.spark, folder).select(page, "is_valid", "error")

@@ -47,3 +47,16 @@ def test_small_responses_are_written_by_many_tasks(spark, folder, monkeypatch):
     assert len(tasks) > 1
     kept = sorted(n for n in os.listdir(path) if not n.startswith("."))
     assert kept == sorted(f"{p}_0.json" for p in range(16))  # and no folder left to list
+
+
+def test_generation_responses_hold_every_reading_twice(spark, folder):
+    frame = spark.range(5000).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 20).alias("l_suppkey"), (F.col("id") % 50 + 0.5).alias("l_quantity"),
+        F.lit("N").alias("l_returnflag"), F.lit("F").alias("l_linestatus"), F.to_timestamp(F.lit("2001-01-05")).alias("l_shipdate"))
+    frame.coalesce(1).write.parquet(f"{folder}/lineitem.parquet")
+    t = Tables(spark, folder)
+    responses = q_sources.generation_responses(t)
+    assert responses.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    data = responses.select(F.explode("response.data").alias("r")).select("r.*")
+    assert data.count() == 10_000 and data.filter("value = 'n/a'").count() == 5000
+    assert rows(payloads.parse_generation(responses, True)) == rows(t.readings.select("date", "fuel_type", "generation_mwh", "respondent"))

@@ -80,19 +80,24 @@ def renamed(t, written, path):
 
 def generation_responses(t):
     """Every reading as two records, the second with an unusable value."""
-    def record(value):
+    def record(r, value):
         return F.struct(
-            F.date_format("date", "yyyy-MM-dd").alias("period"),
-            col("fuel_type").alias("fueltype"),
+            F.date_format(r.date, "yyyy-MM-dd").alias("period"),
+            r.fuel_type.alias("fueltype"),
             value.alias("value"),
-            "respondent",
+            r.respondent.alias("respondent"),
         )
 
-    records = F.array(record(col("generation_mwh").cast("string")), record(F.lit("n/a")))
+    def records(r):
+        return F.array(record(r, r.generation_mwh.cast("string")), record(r, F.lit("n/a")))
+
     pages = max(1, t.source("lineitem").count() // PAGE)
     page = F.pmod(F.xxhash64("date", "fuel_type", "generation_mwh", "respondent"), F.lit(pages))
-    data = F.flatten(F.collect_list(records)).alias("data")
-    return t.readings.groupBy(page.alias("page")).agg(F.struct(data).alias("response")).drop("page")
+    # Dealt out by page first, so that a page is collected once and its records are made there.
+    dealt = t.readings.withColumn("page", page).repartition(tasks_for(t, pages), "page")
+    packed = F.collect_list(F.struct("date", "fuel_type", "generation_mwh", "respondent"))
+    data = F.flatten(F.transform(packed, records)).alias("data")
+    return dealt.groupBy("page").agg(F.struct(data).alias("response")).drop("page")
 
 
 @query(

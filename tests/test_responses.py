@@ -60,3 +60,15 @@ def test_generation_responses_hold_every_reading_twice(spark, folder):
     data = responses.select(F.explode("response.data").alias("r")).select("r.*")
     assert data.count() == 10_000 and data.filter("value = 'n/a'").count() == 5000
     assert rows(payloads.parse_generation(responses, True)) == rows(t.readings.select("date", "fuel_type", "generation_mwh", "respondent"))
+
+
+def test_series_of_a_file_is_worked_out_before_its_records(spark, folder):
+    obs = [{"date": "2025-05-01", "value": "1.5"}, {"date": "2025-04-01", "value": "."}]
+    for name in ("INDPRO_2.json", "-x y_INDPRO.json", "OTHER.json"):
+        write(folder, f"a/{name}", {"observations": obs})
+    for read, column in ((payloads.read_series, "indicator"), (payloads.read_series_described, "series_id")):
+        got = read(spark, f"{folder}/a")
+        want = ["OTHER", "industrial_production_index" if column == "indicator" else "INDPRO", "x"]
+        assert sorted(r[column] for r in got.collect()) == sorted(want)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp_extract" not in plan[: plan.index("Generate explode")]

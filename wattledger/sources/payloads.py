@@ -115,13 +115,15 @@ def read_forecast_wide(spark: SparkSession, path) -> DataFrame:
     return parse_forecast_wide(_read(spark, path, schemas.FORECAST_PAYLOAD))
 
 
-def _observations(payloads: DataFrame, series: Column) -> DataFrame:
+def _observations(payloads: DataFrame, **named: Column) -> DataFrame:
+    """(date, ``named``…, value); what names a file is worked out once for the file."""
     return (
-        payloads.select(series.alias("series"), F.explode("observations").alias("o"))
+        payloads.select("observations", *[c.alias(n) for n, c in named.items()])
+        .select(*named, F.explode("observations").alias("o"))
         .filter(F.col("o.value") != ".")
         .select(
             scalars.text_date(F.col("o.date")).alias("date"),
-            "series",
+            *named,
             scalars.clean_number(F.col("o.value")).alias("value"),
         )
     )
@@ -129,9 +131,9 @@ def _observations(payloads: DataFrame, series: Column) -> DataFrame:
 
 def parse_series(payloads: DataFrame, indicator: Column) -> DataFrame:
     """(date, indicator, value, data_source) without the missing-value records."""
-    return _observations(payloads, indicator).select(
+    return _observations(payloads, indicator=indicator).select(
         "date",
-        F.col("series").alias("indicator"),
+        "indicator",
         "value",
         F.lit(cfg_tag("raw_economic_data")).alias("data_source"),
     )
@@ -139,7 +141,7 @@ def parse_series(payloads: DataFrame, indicator: Column) -> DataFrame:
 
 def series_of_file(path: Column) -> Column:
     """Series id from a file named ``<series id>[_anything].json``."""
-    return F.regexp_extract(path, r"([A-Za-z0-9]+)[^/]*$", 1)
+    return F.regexp_extract(F.substring_index(path, "/", -1), r"([A-Za-z0-9]+)", 1)
 
 
 def read_series(spark: SparkSession, path, names: dict[str, str] | None = None) -> DataFrame:
@@ -153,16 +155,13 @@ def read_series(spark: SparkSession, path, names: dict[str, str] | None = None)
 
 def parse_series_described(payloads: DataFrame, series: Column) -> DataFrame:
     """(date, series_id, indicator_name, value, units)."""
-    rows = _observations(payloads, series)
-    return rows.select(
-        "date",
-        F.col("series").alias("series_id"),
-        scalars.map_lookup(F.col("series"), cfg.SERIES_NAMES, F.col("series")).alias(
-            "indicator_name"
-        ),
-        "value",
-        scalars.map_lookup(F.col("series"), cfg.SERIES_UNITS, F.lit("Units")).alias("units"),
-    )
+    named = {
+        "series_id": series,
+        "indicator_name": scalars.map_lookup(series, cfg.SERIES_NAMES, series),
+        "units": scalars.map_lookup(series, cfg.SERIES_UNITS, F.lit("Units")),
+    }
+    rows = _observations(payloads, **named)
+    return rows.select("date", "series_id", "indicator_name", "value", "units")
 
 
 def read_series_described(spark: SparkSession, path) -> DataFrame:

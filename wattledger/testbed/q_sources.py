@@ -190,7 +190,10 @@ def series_files(t):
     )
     series = F.coalesce(choose(F.substring("o_orderpriority", 1, 1), SERIES_OF_PRIORITY), F.lit("OTHER"))
     page = F.expr(f"o_orderkey div {4 * PAGE}").alias("page")
-    pages = t.source("orders").groupBy(series.alias("series"), page).agg(F.flatten(F.collect_list(items)).alias("observations"))
+    orders = t.source("orders").select(series.alias("series"), page, items.alias("items"))
+    tasks = tasks_for(t, orders.count() // PAGE)
+    grouped = orders.repartition(tasks, "series", "page").groupBy("series", "page")
+    pages = grouped.agg(F.flatten(F.collect_list("items")).alias("observations"))
     return landed_json(t, pages.drop("page"), "series")
 
 

@@ -72,3 +72,20 @@ def test_series_of_a_file_is_worked_out_before_its_records(spark, folder):
         assert sorted(r[column] for r in got.collect()) == sorted(want)
         plan = got._jdf.queryExecution().optimizedPlan().toString()
         assert "regexp_extract" not in plan[: plan.index("Generate explode")]
+
+
+def test_a_batch_without_rejects_is_not_kept_in_memory(spark, folder, monkeypatch):
+    write(folder, "landing/a.json", {"response": {"data": [record("2025-05-23", "NG", "1")]}})
+    kept, real = [], commits.stage
+
+    def watched(df, table, batch):
+        kept.append(df.sparkSession._jsparkSession.sharedState().cacheManager().isEmpty())
+        return real(df, table, batch)
+
+    monkeypatch.setattr(commits, "stage", watched)
+    places = {"landing": f"{folder}/landing", "table": "raw_eia_data"}
+    assert incremental.load_new_responses(spark, **places, target=f"{folder}/t1", checkpoint=f"{folder}/m1") == 1
+    assert kept == [True]
+    assert incremental.load_new_responses(
+        spark, **places, target=f"{folder}/t2", checkpoint=f"{folder}/m2", rejected=f"{folder}/bad") == 1
+    assert kept == [True, False, False]

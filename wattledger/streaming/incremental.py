@@ -1,7 +1,7 @@
 """Load each landed file once: file-source streams run to completion, one publication a batch.
 
-A batch gives two outputs in one pass, the table's rows and what was rejected, and both are
-published by one record (``sources.commits``): a repeated batch finds its record and adds
+A batch gives two outputs in one pass, the table's rows and, where wanted, what was rejected, and
+both are published by one record (``sources.commits``): a repeated batch finds its record and adds
 nothing, a batch that died before it is written anew.
 """
 
@@ -96,7 +96,8 @@ def _load(stream: DataFrame, split: Split, target: str, rejected: str | None, ch
             commits.finish(spark, target, record)
             rows.append(record["rows"])
             return
-        batch.persist()
+        if rejected is not None:  # two outputs of one read
+            batch.persist()
         try:
             good, bad = split(batch)
             seen, refused = Observation(), Observation()
@@ -108,7 +109,8 @@ def _load(stream: DataFrame, split: Split, target: str, rejected: str | None, ch
                 counts["rejected"] = refused.get["n"]
             commits.publish(spark, target, key, moves, **counts)
         finally:
-            batch.unpersist()
+            if rejected is not None:
+                batch.unpersist()
         rows.append(counts["rows"])
 
     query = (

@@ -89,3 +89,16 @@ def test_a_batch_without_rejects_is_not_kept_in_memory(spark, folder, monkeypatc
     assert incremental.load_new_responses(
         spark, **places, target=f"{folder}/t2", checkpoint=f"{folder}/m2", rejected=f"{folder}/bad") == 1
     assert kept == [True, False, False]
+
+
+def test_files_of_a_batch_are_listed_by_few_tasks(spark, folder):
+    for i in range(100):
+        write(folder, f"landing/{i}.json", {"response": {"data": [record("2025-05-23", "NG", "1")]}})
+    before = spark.conf.get(incremental.LISTING_TASKS)
+    places = {"landing": f"{folder}/landing", "table": "raw_eia_data", "target": f"{folder}/t", "checkpoint": f"{folder}/m"}
+    tracker = spark.sparkContext.statusTracker()
+    assert incremental.load_new_responses(spark, **places) == 100 and incremental.load_new_responses(spark, **places) == 0
+    stages = [tracker.getStageInfo(s) for s in range(10_000)]
+    listings = [s.numTasks for s in stages if s and s.name.startswith("start at")]
+    assert listings and max(listings) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(incremental.LISTING_TASKS) == before

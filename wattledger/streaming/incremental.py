@@ -8,6 +8,7 @@ nothing, a batch that died before it is written anew.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from wattledger.sources import commits, files, payloads
 #: Columns of every table of rejected input: the file, why, and the record (null for a file).
 REJECTED = "source_file string, error string, record string"
 
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 Split = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
 
@@ -82,6 +85,21 @@ def split_json(raw: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     return files.with_defaults(rows, table), bad.union(feed.rejected(valid))
 
 
+@contextmanager
+def _listed_by_few_tasks(spark: SparkSession):
+    """Each batch looks up its files, by default with a task for each (up to 10,000)."""
+    tasks = str(4 * spark.sparkContext.defaultParallelism)
+    before = spark.conf.get(LISTING_TASKS, None)
+    spark.conf.set(LISTING_TASKS, tasks)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(LISTING_TASKS)
+        else:
+            spark.conf.set(LISTING_TASKS, before)
+
+
 def _load(stream: DataFrame, split: Split, target: str, rejected: str | None, checkpoint: str) -> int:
     spark = stream.sparkSession
     name = checkpoint.rstrip("/").rpartition("/")[2]
@@ -113,13 +131,14 @@ def _load(stream: DataFrame, split: Split, target: str, rejected: str | None, ch
                 batch.unpersist()
         rows.append(counts["rows"])
 
-    query = (
-        stream.writeStream.foreachBatch(add)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with _listed_by_few_tasks(spark):
+        query = (
+            stream.writeStream.foreachBatch(add)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return sum(rows)
 
 

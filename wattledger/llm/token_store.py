@@ -16,8 +16,6 @@ One document is read with the statistics of first_doc and last_doc, its offsets
 from __future__ import annotations
 
 import os
-import re
-from array import array
 from functools import lru_cache
 from itertools import chain
 
@@ -28,10 +26,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattledger.llm.common import Run, arrow, ship, slices
-
-#: A space before something that isn't white space: no pre-token spans that place.
-BORDER, UNSAFE = re.compile(r" (?=\S)"), re.compile(r" (?:\s|\Z)")
+from wattledger.llm.common import Run, arrow, ship, slices, spread
+from wattledger.llm.pieces import Cut, Ids, Known, dealt, encoded
 
 
 class Encoder:
@@ -42,30 +38,28 @@ class Encoder:
     (``<|endoftext|>``) are encoded whole: the library looks for these before it splits.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.most = most
-        # Serialised ids of pieces, those after a space without it, and of beginnings.
-        self.after: dict[str, bytes] = {}
-        self.begin: dict[str, bytes] = {}
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.kind = "H" if self.width == 2 else "I"
-
-    def _ids(self, known: dict[str, bytes], wanted: set[str], lead: str) -> dict[str, bytes]:
-        """Ids of the wanted pieces; the first ``most`` pieces met stay known."""
-        new = list(wanted.difference(known))
-        got = self.tokenizer.encode_batch_fast([lead + p for p in new], add_special_tokens=False)
-        found = {p: array(self.kind, e.ids).tobytes() for p, e in zip(new, got)}
-        if len(known) < self.most:
-            known.update(found)
-            return known
-        wanted.difference_update(found)
-        found.update(zip(wanted, map(known.__getitem__, wanted)))
-        return found
+        self.kind = np.uint16 if self.width == 2 else np.uint32
+        # In a byte-level vocabulary each character stands for a byte.
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
+        self.known = Known(1, self.kind, most)
+
+    def _alone(self, texts: list[str]) -> list[Ids]:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [(np.array([*chain.from_iterable(got)], self.kind), np.fromiter(map(len, got), np.int64, len(got)))]
+
+    def _together(self, text: str, bounds: np.ndarray) -> list[Ids] | None:
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+        counts = None if any(map(text.__contains__, self.added)) else dealt(ids, self.sizes, bounds)
+        return None if counts is None else [(ids, counts)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, ``width`` bytes each."""
@@ -75,14 +69,15 @@ class Encoder:
         held = set(whole)
         rest = iter(self._by_pieces([t for k, t in enumerate(texts) if k not in held]))
         ids = (self.tokenizer.encode(texts[k], add_special_tokens=False).ids for k in whole)
-        return [array(self.kind, next(ids)).tobytes() if k in held else next(rest) for k in range(len(texts))]
+        return [np.array(next(ids), self.kind).tobytes() if k in held else next(rest) for k in range(len(texts))]
 
     def _by_pieces(self, texts: list[str]) -> list[bytes]:
-        lists = [BORDER.split(t) if UNSAFE.search(t) else t.split(" ") for t in texts]
-        heads = [parts.pop(0) for parts in lists]
-        begin = self._ids(self.begin, set(heads), "")
-        after = self._ids(self.after, set(chain.from_iterable(lists)), " ")
-        return [begin[h] + b"".join(map(after.__getitem__, parts)) for h, parts in zip(heads, lists)]
+        cut = Cut(texts)
+        ((table, starts, counts),) = self.known.of(cut, lambda new, led: encoded(new, led, self._together, self._alone))
+        sizes = counts[cut.codes]
+        ids = table[spread(starts[cut.codes], sizes)].tobytes()
+        first = (np.concatenate([[0], np.cumsum(sizes)])[cut.first] * self.width).tolist()
+        return [ids[a:e] for a, e in zip(first, first[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -132,9 +127,9 @@ def write(documents: DataFrame, folder: str, run: Run, tokenizer: str, end_id: i
     def compress(batches):
         encoder, shared = encoder_of(tokenizer), zstandard.ZstdCompressionDict(data) if data else None
         writer = zstandard.ZstdCompressor(level=level, dict_data=shared)
-        end = array(encoder.kind, [end_id]).tobytes()
+        end = np.array([end_id], encoder.kind).tobytes()
         for b in batches:
-            for first, texts in slices(b, 1):
+            for first, texts in slices(b, 1, 8 << 20):
                 ids = encoder.encode(texts)
                 frames = [writer.compress(x + end) for x in ids]
                 yield pa.record_batch([b.column(0).slice(first, len(texts)), pa.array([len(x) // width + 1 for x in ids], pa.int64()), pa.array(frames, pa.binary())], schema=schema)

@@ -8,12 +8,13 @@ Blocks get back the ids by number and are put together by the positions they kep
 from __future__ import annotations
 
 import base64
-import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 import xxhash
@@ -22,18 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattledger.llm.common import arrow, ship, slices
+from wattledger.llm.common import arrow, ship, slices, spread
+from wattledger.llm.pieces import Cut, laid
 
 PATTERN = public_tokenizers.PATTERN
-#: A space before something that isn't white space: no match of PATTERN spans that place.
-BORDER = re.compile(r" (?=\S)")
-UNSAFE = re.compile(r" (?:\s|\Z)")
-
-
-def pieces(text: str) -> list[str]:
-    """``text`` cut before every single space that a word follows; all but the first piece
-    have lost that space."""
-    return BORDER.split(text) if UNSAFE.search(text) else text.split(" ")
+#: Pieces that surely are one match of PATTERN: Latin letters behind a space or none.
+LETTERS = "^ ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+$"
 
 
 def ranks_of(path: str) -> dict[bytes, int]:
@@ -48,42 +43,31 @@ def encoding_of(path: str) -> tiktoken.Encoding:
 
 
 class Block:
-    """Distinct pre-tokens in order of appearance and every text's sequence of their numbers."""
+    """Distinct pre-tokens of texts and every text's sequence of their numbers."""
 
-    def __init__(self, most: int = 100_000):
+    def __init__(self):
         self.pattern = regex.compile(PATTERN)
-        self.cuts: dict[str, tuple] = {}
-        self.most = most
 
     def cut(self, texts: list[str]) -> tuple[list[str], list[np.ndarray]]:
-        words: dict[str, int] = {}
-        own: dict[str, int] = {}
-        flat, lists, counts = [], [], []
-        for text in texts:
-            parts = pieces(text)
-            parts[1:] = [" " + p for p in parts[1:]]
-            for p in set(parts).difference(own):
-                got = self.cuts.get(p)
-                if got is None:
-                    if len(self.cuts) >= self.most:
-                        self.cuts.clear()
-                    got = self.cuts[p] = tuple(self.pattern.findall(p))
-                own[p] = len(flat)
-                flat.append(got)
-            lists.append(np.fromiter(map(own.__getitem__, parts), np.int64, len(parts)))
-            counts.append(len(parts))
-        sizes = np.fromiter(map(len, flat), np.int64, len(flat))
-        starts = np.cumsum(sizes) - sizes
-        numbers = np.fromiter((words.setdefault(w, len(words)) for got in flat for w in got), np.int64, int(sizes.sum()))
-        return list(words), [numbers[spread(starts[x], sizes[x])].astype(np.uint32) for x in lists]
-
-
-def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Places of all elements of the runs that begin at ``starts``."""
-    ends = np.cumsum(sizes)
-    if not len(ends) or not ends[-1]:
-        return np.empty(0, np.int64)
-    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])
+        words, numbers, first = self.numbered(texts)
+        return words.to_pylist(), [numbers[a:e] for a, e in zip(first, first[1:])]
+
+    def numbered(self, texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The pre-tokens, the sequences one after the other, and where each begins and the last ends."""
+        cut = Cut(texts)
+        pieces = cut.pieces.cast(pa.large_string())
+        one = pc.match_substring_regex(pieces, LETTERS)
+        # No match of the pattern reaches over the place where a piece begins.
+        found = list(map(self.pattern.findall, pieces.filter(pc.invert(one)).to_pylist()))
+        one = np.asarray(one)
+        sizes = np.ones(len(pieces), np.int64)
+        sizes[~one] = np.fromiter(map(len, found), np.int64, len(found))
+        starts = np.cumsum(one) - one
+        starts[~one] = one.sum() + np.cumsum(sizes[~one]) - sizes[~one]
+        words = pa.concat_arrays([pieces.filter(pa.array(one)), pa.array(list(chain.from_iterable(found)), pa.large_string())]).dictionary_encode()
+        counts = sizes[cut.codes]
+        numbers = words.indices.to_numpy().astype(np.uint32)[spread(starts[cut.codes], counts)]
+        return words.dictionary, numbers, np.concatenate([[0], np.cumsum(counts)])[cut.first]
 
 
 def squeezed(data: bytes) -> bytes:
@@ -110,19 +94,22 @@ def _blocks(docs: DataFrame, block_bytes: int, buckets: int | None) -> DataFrame
         block, state = TaskContext.get().partitionId() << 32, Block()
         for b in batches:
             for first, texts in slices(b, 2, block_bytes):
-                words, sequences = state.cut(texts)
+                words, numbers, places = state.numbered(texts)
                 if buckets is None:
                     n = len(texts)
                     ids = np.stack([b.column(i).slice(first, n).to_numpy(zero_copy_only=False) for i in (0, 1)]).astype(np.int64)
-                    data = squeezed(b"".join(s.tobytes() for s in sequences))
-                    sizes = np.array([len(s) for s in sequences], np.uint32).tobytes()
-                    rows = [(block, None, ids.tobytes(), sizes, data)]
+                    sizes = np.diff(places).astype(np.uint32).tobytes()
+                    rows = [(block, None, ids.tobytes(), sizes, squeezed(numbers.tobytes()))]
                 else:
-                    raw = [w.encode() for w in words]
-                    at = np.fromiter((xxhash.xxh32_intdigest(w) for w in raw), np.int64, len(raw)) % buckets
+                    words = words.cast(pa.large_binary())
+                    at = np.fromiter(map(xxhash.xxh32_intdigest, words.to_pylist()), np.int64, len(words)) % buckets
                     order = np.argsort(at, kind="stable")
-                    parts = np.split(order, np.flatnonzero(np.diff(at[order])) + 1) if len(order) else []
-                    rows = [(block, int(at[p[0]]), *packed([raw[i] for i in p]), squeezed(np.diff(p, prepend=0).astype(np.uint32).tobytes())) for p in parts]
+                    raw, ends = laid(words.take(pa.array(order)))
+                    lengths, number = np.diff(ends).astype(np.uint32), order.astype(np.uint32)
+                    cuts = np.append(np.flatnonzero(np.diff(at[order], prepend=-1)), len(order)).tolist()
+                    rows = [
+                        (block, int(at[order[x]]), squeezed(raw[ends[x] : ends[y]]), squeezed(lengths[x:y].tobytes()), squeezed(np.diff(number[x:y], prepend=np.uint32(0)).tobytes()))
+                        for x, y in zip(cuts, cuts[1:])]
                 if rows:
                     yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
                 block += 1

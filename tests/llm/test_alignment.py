@@ -108,3 +108,27 @@ def test_odd_and_no_rows(spark, run, odd, none, folder):
     assert alignment.align(none, run, *PATHS).count() == 0
     odd.write.parquet(f"{folder}/documents.parquet")
     assert queries.op13_lockstep_alignment(spark, folder).columns[:2] == ["doc_id", "n_a"]
+
+
+def test_new_words_go_to_the_tokenizers_together():
+    from tests.llm.test_pieces import Counting, many_words
+
+    tables = alignment.Tables(*PATHS)
+    tables.a = Counting(tables.a)
+    texts = many_words(5000)
+    got = tables.encode(texts)
+    assert tables.a.strings <= 100  # one for each word before
+    for text, (a, b) in zip(texts, got, strict=True):
+        assert [np.frombuffer(x, np.uint16).tolist() for x in (a, b)] == list(whole_ids(tables, text))
+
+
+def test_words_that_differ_among_words_that_fit(monkeypatch):
+    tables = alignment.Tables(*PATHS)
+    fits = tables._fits
+    monkeypatch.setattr(tables, "_fits", lambda text, a, b: "q" not in text and fits(text, a, b))
+    texts = [" ".join(["one", f"x{i}", "aqa" if i % 7 == 0 else "two"]) for i in range(3000)]
+    ids, counts = tables.tokens(texts)
+    fit = ["q" not in t for t in texts]
+    assert (counts[0] > 0).tolist() == (counts[1] > 0).tolist() == fit
+    for k in (0, 1):
+        assert ids[k].tolist() == [i for t, f in zip(texts, fit) if f for i in whole_ids(tables, t)[k]]

@@ -12,14 +12,16 @@ import hashlib
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.llm.byte_bpe import expanded, spread, squeezed
-from wattledger.llm.common import Run, arrow, ship, slices
+from wattledger.llm.byte_bpe import expanded, squeezed
+from wattledger.llm.common import Run, arrow, ship, slices, spread
+from wattledger.llm.pieces import Cut, Ids, Known, dealt, encoded
 
 #: A space that white space or the text's end follows: A may join it with what is before it.
 UNSAFE = re.compile(r" (?:\s|\Z)")
@@ -39,7 +41,7 @@ def _byte_of() -> dict[str, int]:
 class Tables:
     """Bytes of every id of the two tokenizers and the ids of whole words, kept while there is room."""
 
-    def __init__(self, a_path: str, b_path: str, most: int = 250_000):
+    def __init__(self, a_path: str, b_path: str, most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
@@ -62,48 +64,70 @@ class Tables:
             raise ValueError("ids must fit in 16 bits")
         ends = {0: b",", 1: b"|"}, {0: b",", 1: b";"}
         self.texts = [b"%d%s" % (i, e[last]) for e, x in zip(ends, self.sizes) for i in range(len(x)) for last in (0, 1)]
-        self.words: dict[str, tuple[bytes, bytes] | None] = {}
-        self.most = most
+        self.known = Known(2, np.uint16, most)
 
-    def _fits(self, text: str, a: np.ndarray, b: np.ndarray) -> bool:
+    def _fits(self, text: str, a: list[int], b: list[int]) -> bool:
         whole = b" " + text.encode()
-        return b"".join([self.a_bytes[i] for i in a]) == whole == b"".join([self.b_bytes[i] for i in b])
+        return b"".join(map(self.a_bytes.__getitem__, a)) == whole == b"".join(map(self.b_bytes.__getitem__, b))
 
-    def _encoded(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """16-bit ids of each text by A (after a space) and B; None where the bytes differ."""
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+    def _encoded(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """Ids of each text by A (after a space) and B; None where the bytes differ."""
+        a = [x.ids for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
         b = self.b.encode(texts, num_threads=1) if texts else []
-        return [(np.array(x.ids, np.uint16).tobytes(), np.array(y, np.uint16).tobytes()) if self._fits(t, x.ids, y) else None for t, x, y in zip(texts, a, b)]
+        return [(x, y) if self._fits(t, x, y) else None for t, x, y in zip(texts, a, b)]
 
-    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes] | None]:
-        """Ids of both for each text; None for texts that have no tokens.
+    def _alone(self, texts: list[str]) -> list[Ids]:
+        """Ids of words behind a space; none for those whose bytes differ."""
+        pairs = [p or ([], []) for p in self._encoded([t[1:] for t in texts])]
+        return [(np.array([*chain.from_iterable(x)], np.uint16), np.fromiter(map(len, x), np.int64, len(x))) for x in ([p[k] for p in pairs] for k in (0, 1))]
+
+    def _together(self, text: str, bounds: np.ndarray) -> list[Ids] | None:
+        (pair,) = self._encoded([text[1:]])
+        ids = [np.array(x, np.uint16) for x in pair or ()]
+        counts = [dealt(x, size, bounds) for x, size in zip(ids, self.sizes)]
+        return None if pair is None or any(c is None for c in counts) else list(zip(ids, counts))
+
+    def tokens(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """16-bit ids of all texts by A and by B, and how many each text has: none if the bytes differ.
 
         A text without odd spaces is cut before every space: neither tokenizer joins what
         stands on its two sides. A word whose bytes differ sends its text the long way.
         """
-        out: list = [None] * len(texts)
-        lists, whole = {}, []
+        plain, whole = [], []
         for i, t in enumerate(texts):
             if t:
-                if self.cuts and SPACE not in t and not t[0].isspace() and not UNSAFE.search(t):
-                    lists[i] = t.split(" ")
-                else:
-                    whole.append(i)
-        wanted = set().union(*lists.values()) if lists else set()
-        new = list(wanted.difference(self.words))
-        if len(self.words) + len(new) > self.most:
-            self.words.clear()
-            new = list(wanted)
-        self.words.update(zip(new, self._encoded(new)))
-        for i, parts in lists.items():
-            got = [self.words[p] for p in parts]
-            if None in got:
-                whole.append(i)
-            else:
-                out[i] = b"".join([a for a, _ in got]), b"".join([b for _, b in got])
-        for i, pair in zip(whole, self._encoded([texts[i] for i in whole])):
-            out[i] = pair
-        return out
+                safe = self.cuts and SPACE not in t and not t[0].isspace() and not UNSAFE.search(t)
+                (plain if safe else whole).append(i)
+        cut = Cut([" " + texts[i] for i in plain])
+        found = self.known.of(cut, lambda new, led: encoded(new, led, self._together, self._alone))
+        misfits = np.concatenate([[0], np.cumsum((found[0][2] == 0)[cut.codes])])[cut.first]
+        long_way = np.diff(misfits) > 0
+        whole += np.array(plain, np.int64)[long_way].tolist()
+        pairs = self._encoded([texts[i] for i in whole])
+        ids, counts = [], []
+        for k, (table, starts, sizes) in enumerate(found):
+            each = sizes[cut.codes]
+            flat = table[spread(starts[cut.codes], each)]
+            first = np.concatenate([[0], np.cumsum(each)])[cut.first]
+            n = np.zeros(len(texts), np.int64)
+            n[plain] = np.diff(first)
+            n[whole] = [len(p[k]) if p else 0 for p in pairs]
+            if whole:
+                parts: list = [flat[:0]] * len(texts)
+                for i, a, e in zip(plain, first.tolist(), first[1:].tolist()):
+                    parts[i] = flat[a:e]
+                for i, p in zip(whole, pairs):
+                    parts[i] = np.array(p[k] if p else [], np.uint16)
+                flat = np.concatenate(parts)
+            ids.append(flat)
+            counts.append(n)
+        return ids, counts
+
+    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes] | None]:
+        """Serialised 16-bit ids of both for each text; None for texts that have no tokens."""
+        ids, counts = self.tokens(texts)
+        cut = [[x[e - n : e].tobytes() for e, n in zip(np.cumsum(c), c)] for x, c in zip(ids, counts)]
+        return [(a, b) if a else None for a, b in zip(*cut)]
 
 
 @lru_cache(maxsize=1)
@@ -160,10 +184,8 @@ class Aligned:
     """Tokens, links and cuts of a batch of texts."""
 
     def __init__(self, texts: list[str | None], tables: Tables):
-        pairs = tables.encode(texts)
-        none = (b"", b"")
-        self.ids = [np.frombuffer(b"".join([(p or none)[k] for p in pairs]), np.uint16).astype(np.int64) for k in (0, 1)]
-        self.counts = [np.array([len((p or none)[k]) // 2 for p in pairs], np.int64) for k in (0, 1)]
+        ids, self.counts = tables.tokens(texts)
+        self.ids = [x.astype(np.int64) for x in ids]
         self.first = [np.concatenate([[0], np.cumsum(c)]) for c in self.counts]
         ends = [np.cumsum(size[x]) for size, x in zip(tables.sizes, self.ids)]
         self.partner = lockstep(*ends, *self.first)

@@ -24,6 +24,8 @@ from wattledger.llm.byte_bpe import spread
 from wattledger.llm.common import Bloom, Run, arrow, mixed, slices, utf8
 
 GRAM, STEP = 50, 32
+#: Places for which hashes and anchors are worked out at once.
+PART = 1 << 16
 #: Bytes of text that a task works on at once; its arrays take some sixty times as much.
 SLICE = 2 << 20
 
@@ -46,15 +48,29 @@ def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
 
 def anchors(h: np.ndarray, w: int) -> np.ndarray:
     """For every window of ``w`` hashes the place of its smallest, the last among equals."""
-    best, at, size = h, np.arange(len(h)), 1
+    best, at, size = h, np.zeros(len(h), np.uint8 if w <= 256 else np.int64), 1
     while size < w:
         step = min(size, w - size)
         n = len(best) - step
         later = best[step : step + n] <= best[:n]
-        at = np.where(later, at[step : step + n], at[:n])
+        at = np.where(later, at[step : step + n] + at.dtype.type(step), at[:n])
         best = np.minimum(best[:n], best[step : step + n])
         size += step
-    return at
+    return np.arange(len(at)) + at
+
+
+def hashes_and_anchors(data: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """``gram_hashes`` of ``data`` and their ``anchors``, worked out for ``PART`` places at a time,
+    so that what they pass over again and again stays in a processor's cache."""
+    n = len(data) - GRAM + 1
+    h, at = np.empty(n, np.uint64), np.empty(n - w + 1, np.int64)
+    for a in range(0, len(at), PART):
+        e = min(a + PART, len(at))
+        part = gram_hashes(data[a : e + w - 1 + GRAM - 1], GRAM)
+        h[a : e + w - 1] = part
+        at[a:e] = anchors(part, w)
+        at[a:e] += a
+    return h, at
 
 
 class Slice:
@@ -70,8 +86,7 @@ class Slice:
         usable = sizes >= length
         if not usable.any():
             return
-        h = gram_hashes(self.data, GRAM)
-        at = anchors(h, length - GRAM + 1)
+        h, at = hashes_and_anchors(self.data, length - GRAM + 1)
         inside = np.zeros(len(at), bool)
         inside[spread(bounds[usable], sizes[usable] - length + 1)] = True
         starts = np.flatnonzero(inside)
